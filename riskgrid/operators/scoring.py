@@ -15,11 +15,14 @@ from riskgrid.operators.encoding import CATEGORICAL, align_features, assemble, o
 TOP_ZONES = 10
 
 
-def features_for_day(features: DataFrame, date: str, hours: Sequence[int] | None = None) -> DataFrame:
-    """Feature rows of one day (and hours), by place and hour. The date prunes table partitions."""
+def day_rows(features: DataFrame, date: str, hours: Sequence[int] | None = None) -> DataFrame:
+    """Feature rows of one day, all hours or some. The date prunes table partitions."""
     chosen = list(range(24)) if hours is None else list(hours)
-    day = features.where((F.col("feature_date") == F.lit(date).cast("date")) & F.col("hour").isin(chosen))
-    return day.orderBy("location_id", "hour")
+    return features.where((F.col("feature_date") == F.lit(date).cast("date")) & F.col("hour").isin(chosen))
+
+
+def features_for_day(features: DataFrame, date: str, hours: Sequence[int] | None = None) -> DataFrame:
+    return day_rows(features, date, hours).orderBy("location_id", "hour")
 
 
 def prepare_features(df: DataFrame, names: Sequence[str], categories: Sequence[str], keep: Sequence[str]) -> DataFrame:

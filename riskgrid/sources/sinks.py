@@ -55,11 +55,7 @@ def insert_ignore(incoming: DataFrame, path: str, key: str = "accident_id", orde
 
 
 def write_table(df: DataFrame, path: str, policy: str = "append", partition_by: Sequence[str] = ()) -> None:
-    """Write under a policy for a target that already has rows: append, replace, cancel or fail.
-
-    Replacing first writes aside when the new rows are read from the target itself, which Spark
-    refuses to overwrite.
-    """
+    """Write under a policy for a target that already has rows: append, replace, cancel or fail."""
     if policy not in WRITE_POLICIES:
         raise ValueError(f"policy must be one of {sorted(WRITE_POLICIES)}, not {policy!r}")
     writer = _by_partition(df, partition_by).write.mode(WRITE_POLICIES[policy])
