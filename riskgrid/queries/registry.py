@@ -124,7 +124,8 @@ def q04_sql_read(spark, sf_dir):
 
 @query
 def q05_features_for_day(spark, sf_dir):
-    return scoring.features_for_day(feature_table(spark, sf_dir), DAY).select(*ROW_KEY, "temperature_f", TARGET)
+    day = scoring.features_for_day(feature_table(spark, sf_dir), DAY)
+    return rounded(day.select(*ROW_KEY, "temperature_f", TARGET), "temperature_f")
 
 
 @query
@@ -628,6 +629,7 @@ def q62_one_hot(spark, sf_dir):
 def q63_vector_assembly(spark, sf_dir):
     """Sum of every vector position: nulls count as 0."""
     table = feature_table(spark, sf_dir).withColumn("humidity", F.nullif("humidity", F.lit(50.0)))
+    table = rounded(table, "moving_avg_3day", "moving_avg_7day", "moving_avg_30day")
     names = [c for c in encoding.feature_columns(table.columns) if c != "road_type"]
     vectors = encoding.assemble(table, names)
     cells = vectors.select(F.posexplode(vector_to_array("features")).alias("position", "value"))
