@@ -129,10 +129,13 @@ def grid_window_counts(
 
     computed = _running_sums(windows)
     if payload:
-        same_hour = _by_place().rangeBetween(0, 0)
-        here = F.when(F.col("_hour") == F.col("hour_idx"), F.col("_payload"))
-        computed["_payload"] = F.last(here, ignorenulls=True).over(same_hour)
+        # The latest event hour so far; it belongs to the grid row only if it is the row's hour.
+        event = F.when(F.col("_hour") == F.col("hour_idx"), F.struct("_hour", "_payload"))
+        computed["_event"] = F.last(event, ignorenulls=True).over(_by_place())
     counted = rows.withColumns(computed).where("_on_grid")
+    if payload:
+        same_hour = F.col("_event._hour") == F.col("hour_idx")
+        counted = counted.withColumn("_payload", F.when(same_hour, F.col("_event._payload")))
     return counted.select(
         *KEY,
         *carried,

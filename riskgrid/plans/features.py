@@ -9,7 +9,14 @@ from riskgrid import schemas
 from riskgrid.functions.dates import index_date
 from riskgrid.functions.geo import KEY
 from riskgrid.operators import calendar as cal
-from riskgrid.operators.grid import join_calendar, road_cutoffs, with_location_id, with_road_type, with_rush_hour
+from riskgrid.operators.grid import (
+    bounds_struct,
+    join_calendar,
+    road_cutoffs,
+    with_location_id,
+    with_road_type,
+    with_rush_hour,
+)
 from riskgrid.operators.locations import (
     cell_sightings,
     clusters_of_cells,
@@ -22,6 +29,9 @@ from riskgrid.operators.weather import HOT_ROWS, fill_with, hot_place_hours, wea
 from riskgrid.operators.windows import LABEL_HOURS, TRAILING, ahead, grid_window_counts, label_column, lag_columns
 from riskgrid.session import stage
 
+# Rows whose values one task may hold in memory at a time.
+ONE_TASK_ROWS = 2_000_000
+
 
 def place_hours(accidents: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Staged event counts and weather per place and hour; hot place-hours are split if there are any."""
@@ -29,6 +39,16 @@ def place_hours(accidents: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return stage(weather_by_hour(accidents, None if hot.isEmpty() else hot), "place-hours")
 
 
+def grid_medians(hours: DataFrame) -> DataFrame:
+    """Median of each weather column over the grid: a place-hour fills exactly one grid row.
+
+    Up to ``ONE_TASK_ROWS`` place-hours, counted first, one task may hold all values.
+    """
+    if hours.count() > ONE_TASK_ROWS:
+        return exact_medians(hours, [], schemas.WEATHER_COLUMNS)
+    return hours.agg(*[F.median(c).alias(c) for c in schemas.WEATHER_COLUMNS])
+
+
 def build_features(
     accidents: DataFrame,
     calendar: DataFrame | None = None,
@@ -58,7 +78,6 @@ def build_features(
         )
     else:
         bounds = cal.date_bounds(accidents.sparkSession, start, end)
-    calendar = cal.build_calendar(bounds) if calendar is None else calendar
     if cluster_map is None:
         if cluster_method == "kmeans":
             cluster_map = kmeans_clusters(accidents)
@@ -73,14 +92,17 @@ def build_features(
         places = history if max_locations is None else sample_locations(history, max_locations)
     places = with_cluster(places, cluster_map)
 
-    limits = bounds.select(F.struct("start_date", "end_date")).scalar()
+    limits = bounds_struct(bounds)
+    calendar = cal.build_calendar(bounds) if calendar is None else calendar
+    calendar = calendar.where(F.col("date").between(limits["start_date"], limits["end_date"]))
+
     in_grid = hours.where(index_date(F.col("hour_idx")).between(limits["start_date"], limits["end_date"]))
     if locations is not None or max_locations is not None:
         near = hours.join(places.select(*KEY), KEY, "left_semi")
         in_grid = in_grid.join(places.select(*KEY), KEY, "left_semi")
     else:
         near = hours
-    medians = exact_medians(in_grid, [], schemas.WEATHER_COLUMNS)
+    medians = grid_medians(in_grid)
     # Every place has the same number of grid rows, so each counts once per grid row.
     rows_per_place = (F.date_diff(limits["end_date"], limits["start_date"]) + 1) * 24
     cutoffs = road_cutoffs(places, weight=rows_per_place)
