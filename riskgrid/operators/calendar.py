@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Default start and end of the calendar.
@@ -68,21 +68,20 @@ def holidays(bounds: DataFrame) -> DataFrame:
     A fixed holiday on Saturday is also observed on Friday, one on Sunday on Monday. The year
     after the end counts too, because its first day may be observed on 31 December.
     """
-    year = F.col("year")
 
-    def entry(date: Column, name: str, first_year: int) -> Column:
-        return F.struct(F.when(year >= first_year, date).alias("date"), F.lit(name).alias("holiday_name"))
+    def entry(date: str, name: str, first_year: int) -> str:
+        quoted = name.replace("'", "\\'")
+        return f"struct(if(year >= {first_year}, {date}, null) as date, '{quoted}' as holiday_name)"
 
     entries = []
     for name, (month, day, first_year) in FIXED_HOLIDAYS.items():
-        date = F.make_date(year, F.lit(month), F.lit(day))
-        observed = F.when(F.weekday(date) == 5, F.date_sub(date, 1)).when(F.weekday(date) == 6, F.date_add(date, 1))
+        date = f"make_date(year, {month}, {day})"
+        observed = f"case weekday({date}) when 5 then {date} - 1 when 6 then {date} + 1 end"
         entries += [entry(date, name, first_year), entry(observed, name + OBSERVED, first_year)]
     for name, (month, day, weekday, first_year) in FLOATING_HOLIDAYS.items():
-        before = F.date_sub(F.make_date(year, F.lit(month), F.lit(day)), 1)
-        entries.append(entry(F.next_day(before, weekday), name, first_year))
+        entries.append(entry(f"next_day(make_date(year, {month}, {day}) - 1, '{weekday}')", name, first_year))
     years = bounds.select(F.explode(F.sequence(F.year("start_date"), F.year("end_date") + 1)).alias("year"))
-    return years.select(F.inline(F.array(*entries))).where(F.col("date").isNotNull())
+    return years.select(F.expr(f"inline(array({', '.join(entries)}))")).where(F.col("date").isNotNull())
 
 
 def with_holidays(days: DataFrame, holiday_table: DataFrame) -> DataFrame:

@@ -55,18 +55,16 @@ def _entries(windows: Sequence[HourWindow]) -> dict[int, dict[str, int]]:
     return entries
 
 
-def _row(hour: Column, on_grid: bool, windows: Sequence[HourWindow], signs: dict[str, int]) -> Column:
-    change = [(F.col("event_count") * signs.get(w.name, 0) if signs else F.lit(0).cast("bigint")) for w in windows]
-    return F.struct(
-        hour.cast("bigint").alias("hour_idx"),
-        F.lit(on_grid).alias("_on_grid"),
-        *[c.cast("bigint").alias(w.name) for c, w in zip(change, windows)],
-    )
+def _row(hour: str, on_grid: bool, windows: Sequence[HourWindow], signs: dict[str, int]) -> str:
+    """SQL for one generated row: its hour and its change to each window's count."""
+    changes = {w.name: signs.get(w.name, 0) for w in windows}
+    counts = [f"{sign} * event_count as {name}" if sign else f"0L as {name}" for name, sign in changes.items()]
+    return f"struct({hour} as hour_idx, {str(on_grid).lower()} as _on_grid, {', '.join(counts)})"
 
 
-def _changes(windows: Sequence[HourWindow]) -> list[Column]:
-    hour = F.col("_hour")
-    return [_row(hour + offset, False, windows, signs) for offset, signs in _entries(windows).items()]
+def _changes(windows: Sequence[HourWindow]) -> list[str]:
+    """Rows at which an event hour ``_hour`` enters and leaves the windows."""
+    return [_row(f"_hour + {offset}L", False, windows, signs) for offset, signs in _entries(windows).items()]
 
 
 def _by_place() -> W:
@@ -81,7 +79,7 @@ def _running_sums(windows: Sequence[HourWindow]) -> dict[str, Column]:
 def add_window_counts(grid: DataFrame, event_hours: DataFrame, windows: Sequence[HourWindow]) -> DataFrame:
     """Window counts for the rows of any frame that has the location key and ``hour_idx``."""
     changes = event_hours.select(*KEY, F.col("hour_idx").alias("_hour"), "event_count")
-    changes = changes.select(*KEY, F.inline(F.array(*_changes(windows))))
+    changes = changes.select(*KEY, F.expr(f"inline(array({', '.join(_changes(windows))}))"))
     zero = {w.name: F.lit(0).cast("bigint") for w in windows}
     rows = grid.withColumns({**zero, "_on_grid": F.lit(True), "hour_idx": F.col("hour_idx").cast("bigint")})
     rows = rows.unionByName(changes, allowMissingColumns=True)
@@ -114,18 +112,17 @@ def grid_window_counts(
     seeds = locations.unionByName(near, allowMissingColumns=True)
     seeds = seeds.repartition(shuffle_width(spark), *KEY).withColumn("_range", limits)
 
-    is_place = F.col("_hour").isNull()
-    no_day = F.array(F.lit(None).cast("date"))
-    days = F.when(is_place, F.sequence("_range.start_date", "_range.end_date")).otherwise(no_day)
-    seeds = seeds.withColumn("_day", F.explode(days)).drop("_range")
+    days = "if(_hour is null, sequence(_range.start_date, _range.end_date), array(cast(null as date)))"
+    seeds = seeds.withColumn("_day", F.expr(f"explode({days})")).drop("_range")
 
     carried = [c for c in locations.columns if c not in KEY]
-    midnight = day_hour_index(F.col("_day"), F.lit(0))
-    hours = F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: _row(midnight + h, True, windows, {}))
-    own_hour = [_row(F.col("_hour"), False, windows, {})] if payload else []
-    changes = F.array(*own_hour, *_changes(windows))
-    kept = [*KEY, *carried, "_hour", "_payload"]
-    rows = seeds.select(*kept, F.inline(F.when(is_place, hours).otherwise(changes)))
+    hour_of_day = _row("unix_date(_day) * 24L + h", True, windows, {})
+    own_hour = [_row("_hour", False, windows, {})] if payload else []
+    made = (
+        f"if(_hour is null, transform(sequence(0, 23), h -> {hour_of_day}), "
+        f"array({', '.join([*own_hour, *_changes(windows)])}))"
+    )
+    rows = seeds.select(*KEY, *carried, "_hour", "_payload", F.expr(f"inline({made})"))
 
     computed = _running_sums(windows)
     if payload:

@@ -184,8 +184,7 @@ _PARTS: dict[str, str] = {
                cast(n7 as integer) as rolling_7day_accidents, cast(n30 as integer) as rolling_30day_accidents,
                m.cluster_id, r.road_type,
                cast(n24 as integer) as accidents_last_24h, cast(n7 as integer) as accidents_last_7days,
-               round(n3 / 3e0, 6) as moving_avg_3day, round(n7 / 7e0, 6) as moving_avg_7day,
-               round(n30 / 30e0, 6) as moving_avg_30day,
+               n3 / 3e0 as moving_avg_3day, n7 / 7e0 as moving_avg_7day, n30 / 30e0 as moving_avg_30day,
                cast(f24 > 0 as integer) as accident_occurred_next_24h
         from grid_imputed g
         join grid_counts c using (feature_date, location_id, hour)
@@ -438,8 +437,7 @@ _TEXTS: dict[str, str] = {
     )
     + " where feature_date between date '2024-01-12' and date '2024-01-20'",
     "q51_moving_averages": _window(
-        "round(n3 / 3e0, 6) as moving_avg_3day, round(n7 / 7e0, 6) as moving_avg_7day, "
-        "round(n30 / 30e0, 6) as moving_avg_30day"
+        "n3 / 3e0 as moving_avg_3day, n7 / 7e0 as moving_avg_7day, n30 / 30e0 as moving_avg_30day"
     ),
     "q52_forward_label": _window(f"cast(f24 > 0 as integer) as {_LABEL}"),
     "q52_forward_label_6h": _window(f"cast(f6 > 0 as integer) as {_LABEL}"),

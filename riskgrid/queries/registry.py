@@ -546,8 +546,7 @@ def q50_trailing_counts_late_grid(spark, sf_dir):
 @query
 def q51_moving_averages(spark, sf_dir):
     counted = _window_grid(spark, sf_dir, win.TRAILING).withColumns(win.lag_columns())
-    names = ["moving_avg_3day", "moving_avg_7day", "moving_avg_30day"]
-    return rounded(counted.select(*ROW_KEY, *names), *names)
+    return counted.select(*ROW_KEY, "moving_avg_3day", "moving_avg_7day", "moving_avg_30day")
 
 
 @query
@@ -576,7 +575,7 @@ def q54_location_id(spark, sf_dir):
 @query
 def q55_feature_table(spark, sf_dir):
     features = build_features(views.accidents(spark, sf_dir))
-    return rounded(features, *schemas.WEATHER_COLUMNS, "moving_avg_3day", "moving_avg_7day", "moving_avg_30day")
+    return rounded(features, *schemas.WEATHER_COLUMNS)
 
 
 # --- training set ------------------------------------------------------------------------------
@@ -629,7 +628,6 @@ def q62_one_hot(spark, sf_dir):
 def q63_vector_assembly(spark, sf_dir):
     """Sum of every vector position: nulls count as 0."""
     table = feature_table(spark, sf_dir).withColumn("humidity", F.nullif("humidity", F.lit(50.0)))
-    table = rounded(table, "moving_avg_3day", "moving_avg_7day", "moving_avg_30day")
     names = [c for c in encoding.feature_columns(table.columns) if c != "road_type"]
     vectors = encoding.assemble(table, names)
     cells = vectors.select(F.posexplode(vector_to_array("features")).alias("position", "value"))
