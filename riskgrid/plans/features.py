@@ -57,7 +57,7 @@ def build_features(
     locations: DataFrame | None = None,
     max_locations: int | None = None,
     cluster_map: DataFrame | None = None,
-    cluster_method: str = "cells",
+    cluster_method: str = "kmeans",
     cell_size: float = 1.0,
     label_hours: int = LABEL_HOURS,
     hot_rows: int = HOT_ROWS,
@@ -65,6 +65,7 @@ def build_features(
     """One row per place, date and hour with all features and the label.
 
     The events are reduced to place-hours once and staged; everything after works on that table.
+    ``cluster_method`` is ``kmeans`` or ``cells``; a ``cluster_map`` overrides it.
     All places are used unless ``locations`` (key columns) or ``max_locations`` narrows them.
     """
     hours = place_hours(accidents, hot_rows)

@@ -58,7 +58,7 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _features:
         path = scratch_path(spark, "features_daily")
-        sinks.write_features(build_features(views.accidents(spark, sf_dir)), path)
+        sinks.write_features(build_features(views.accidents(spark, sf_dir), cluster_method="cells"), path)
         _features[key] = path
     return scans.parquet_table(spark, _features[key], schemas.FEATURES).select(*schemas.FEATURES.names)
 
@@ -189,12 +189,21 @@ def q09_key_violations(spark, sf_dir):
         found = scans.key_violations(df, key)
         return found.select(F.lit(name).alias("table_name"), F.concat_ws("|", *key).alias("key"), "rows")
 
-    place_hours = wx.with_place_hour(accidents)
-    return (
-        check("accidents", accidents, schemas.TABLE_KEYS["accidents"])
-        .unionByName(check("predictions", predictions, schemas.TABLE_KEYS["predictions"]))
-        .unionByName(check("place_hours", place_hours, wx.PLACE_HOUR))
-    )
+    clusters = locations.cell_clusters(accidents, 1.0)
+    monitored = metrics.monitoring(predictions, feature_table(spark, sf_dir), TARGET)
+    tables = {
+        "accidents": accidents,
+        "calendar": cal.build_calendar(order_bounds(spark, sf_dir)),
+        "features_daily": feature_table(spark, sf_dir),
+        "predictions": predictions,
+        "model_metadata": views.metadata(spark, sf_dir),
+        "monitoring_metrics": monitored,
+        "location_clusters": locations.cluster_summary(accidents, clusters),
+    }
+    checks = [check(name, df, schemas.TABLE_KEYS[name]) for name, df in tables.items()]
+    # Not a key: shows that violations are found.
+    checks.append(check("place_hours", wx.with_place_hour(accidents), wx.PLACE_HOUR))
+    return reduce(DataFrame.unionByName, checks)
 
 
 @query
@@ -574,7 +583,7 @@ def q54_location_id(spark, sf_dir):
 
 @query
 def q55_feature_table(spark, sf_dir):
-    features = build_features(views.accidents(spark, sf_dir))
+    features = build_features(views.accidents(spark, sf_dir), cluster_method="cells")
     return rounded(features, *schemas.WEATHER_COLUMNS)
 
 
@@ -845,7 +854,7 @@ def q86_end_to_end_run(spark, sf_dir):
     views.raw(spark, sf_dir).write.option("header", True).csv(f"{root}/raw")
     project = endtoend.Project(
         root, f"{root}/raw", DAY, "v1", RUN_TIME, calendar_start="2024-01-01", calendar_end="2024-12-31",
-        model_name="logistic_regression", specs=QUICK[:1],
+        model_name="logistic_regression", specs=QUICK[:1], feature_options={"cluster_method": "cells"},
     )
     return endtoend.run(spark, project)
 

@@ -62,6 +62,12 @@ def write_table(df: DataFrame, path: str, policy: str = "append", partition_by:
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def truncate(spark: SparkSession, path: str) -> None:
+    """Empty a table, keeping its schema."""
+    schema = spark.read.parquet(path).schema
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
+
 def truncate_and_load(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

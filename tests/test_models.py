@@ -123,7 +123,7 @@ def test_end_to_end_steps(spark, scratch):
     views.raw(spark, SMALL).write.option("header", True).csv(f"{scratch}/raw")
     project = endtoend.Project(
         scratch, f"{scratch}/raw", "2024-01-15", "v1", "2024-02-01", calendar_end="2024-12-31",
-        model_name="logistic_regression", specs=registry.QUICK[:1],
+        model_name="logistic_regression", specs=registry.QUICK[:1], feature_options={"cluster_method": "cells"},
     )
     zones = endtoend.run(spark, project)
     assert zones.count() <= 10

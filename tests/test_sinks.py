@@ -56,6 +56,17 @@ def test_write_policies(spark, scratch):
         sinks.write_table(new, scratch, "ask")
 
 
+def test_truncate_keeps_the_schema(spark, scratch):
+    old = frame(spark, ("a", "2024-01-01", 1))
+    sinks.write_table(old, scratch)
+    sinks.truncate(spark, scratch)
+    stored = scans.parquet_table(spark, scratch)
+    assert stored.isEmpty() and stored.columns == old.columns
+    sinks.truncate_and_load(old, scratch)
+    sinks.truncate_and_load(old, scratch)
+    assert content(spark, scratch) == [("a", 1)]
+
+
 def predictions(spark, *rows):
     return spark.createDataFrame(
         rows, "d string, prediction_hour int, location_id string, risk_score double, model_version string"
