@@ -17,8 +17,8 @@ TOP_ZONES = 10
 
 def day_rows(features: DataFrame, date: str, hours: Sequence[int] | None = None) -> DataFrame:
     """Feature rows of one day, all hours or some. The date prunes table partitions."""
-    chosen = list(range(24)) if hours is None else list(hours)
-    return features.where((F.col("feature_date") == F.lit(date).cast("date")) & F.col("hour").isin(chosen))
+    day = features.where(F.col("feature_date") == F.lit(date).cast("date"))
+    return day if hours is None else day.where(F.col("hour").isin(list(hours)))
 
 
 def features_for_day(features: DataFrame, date: str, hours: Sequence[int] | None = None) -> DataFrame:

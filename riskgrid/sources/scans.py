@@ -20,14 +20,15 @@ MISSING_TEXTS = [
 
 def csv_events(
     spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None,
-    missing: Sequence[str] = MISSING_TEXTS,
+    missing: Sequence[str] = MISSING_TEXTS, multi_line: bool = False,
 ) -> DataFrame:
     """Raw events from CSV files with a header, every column as text, missing-value texts as null.
 
     Without ``columns`` the header names the columns and only the first line is read for it. Given
     columns must be the file's columns in order. A missing path is Spark's own error.
+    ``multi_line`` allows line breaks in quoted cells, at the price of one task per file.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if columns is not None:
         reader = reader.schema(StructType([StructField(c, StringType()) for c in columns])).option(
             "enforceSchema", False

@@ -77,6 +77,11 @@ def append_csv(df: DataFrame, path: str, header: bool = False) -> None:
     df.write.mode("append").option("header", header).csv(path)
 
 
+def write_report(df: DataFrame, path: str) -> None:
+    """A short report, such as the importance of each feature, as one CSV file in its own order."""
+    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
 def _by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Gather each partition value in few tasks, large values in several: no flood of small files."""
     return df.hint("rebalance", *columns) if columns else df
