@@ -19,8 +19,8 @@ SEVERE_WORDS = ["Snow", "Heavy Rain", "Fog", "Storm", "Ice", "Sleet"]
 
 # A place-hour with more events than this is hot: its medians are not worked out in one task.
 HOT_ROWS = 100_000
-# Hot place-hours each hold over a millionth of all events, so their list has fewer rows than this.
-_HOT_LIST = 1_000_000
+# Hot place-hours also hold over 1/200,000 of all events each, so their list has fewer rows than this.
+_HOT_LIST = 200_000
 
 
 def with_place_hour(accidents: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def hour_counts(accidents: DataFrame) -> DataFrame:
 
 
 def hot_place_hours(accidents: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Place-hours above ``hot_rows`` and above a millionth of all events, with their event count."""
+    """Place-hours above ``hot_rows`` and above their share of all events, with their event count."""
     share = accidents.agg(F.count(F.lit(1)) / F.lit(_HOT_LIST)).scalar()
     return hour_counts(accidents).where(F.col("event_count") > F.greatest(F.lit(float(hot_rows)), share))
 
@@ -71,7 +71,7 @@ def _split_weather(events: DataFrame, hot: DataFrame) -> DataFrame:
 def weather_by_hour(accidents: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Event count, exact medians and most frequent condition per place and hour.
 
-    Place-hours listed in ``hot`` (from ``hot_place_hours``; at most a million, so the list is
+    Place-hours listed in ``hot`` (from ``hot_place_hours``; fewer than 200,000, so the list is
     broadcast) are split over many tasks; all others are worked out one group at a time.
     """
     events = _weather_events(accidents)
