@@ -46,25 +46,16 @@ def ahead(hours: int = LABEL_HOURS) -> HourWindow:
     return HourWindow("n_next", 0, hours - 1)
 
 
-def _entries(windows: Sequence[HourWindow]) -> dict[int, dict[str, int]]:
-    """Offset from an event's hour -> windows whose count changes there, by +1 or -1 event."""
-    entries: dict[int, dict[str, int]] = {}
-    for w in windows:
-        entries.setdefault(-w.last, {})[w.name] = 1
-        entries.setdefault(1 - w.first, {})[w.name] = -1
-    return entries
+def _steps(windows: Sequence[HourWindow]) -> list[int]:
+    """Offsets from an event's hour at which it enters or leaves some window."""
+    return sorted({step for w in windows for step in (-w.last, 1 - w.first)})
 
 
-def _row(hour: str, on_grid: bool, windows: Sequence[HourWindow], signs: dict[str, int]) -> str:
-    """SQL for one generated row: its hour and its change to each window's count."""
-    changes = {w.name: signs.get(w.name, 0) for w in windows}
-    counts = [f"{sign} * event_count as {name}" if sign else f"0L as {name}" for name, sign in changes.items()]
-    return f"struct({hour} as hour_idx, {str(on_grid).lower()} as _on_grid, {', '.join(counts)})"
-
-
-def _changes(windows: Sequence[HourWindow]) -> list[str]:
-    """Rows at which an event hour ``_hour`` enters and leaves the windows."""
-    return [_row(f"_hour + {offset}L", False, windows, signs) for offset, signs in _entries(windows).items()]
+def _change(window: HourWindow) -> Column:
+    """What an event hour adds to the window's count at ``_step`` hours from it."""
+    return F.expr(
+        f"case _step when {-window.last} then event_count when {1 - window.first} then -event_count else 0L end"
+    )
 
 
 def _by_place() -> W:
@@ -78,8 +69,11 @@ def _running_sums(windows: Sequence[HourWindow]) -> dict[str, Column]:
 
 def add_window_counts(grid: DataFrame, event_hours: DataFrame, windows: Sequence[HourWindow]) -> DataFrame:
     """Window counts for the rows of any frame that has the location key and ``hour_idx``."""
-    changes = event_hours.select(*KEY, F.col("hour_idx").alias("_hour"), "event_count")
-    changes = changes.select(*KEY, F.expr(f"inline(array({', '.join(_changes(windows))}))"))
+    step = F.explode(F.array(*[F.lit(step) for step in _steps(windows)])).alias("_step")
+    changes = event_hours.select(*KEY, F.col("hour_idx").alias("_hour"), "event_count", step)
+    changes = changes.select(
+        *KEY, (F.col("_hour") + F.col("_step")).alias("hour_idx"), *[_change(w).alias(w.name) for w in windows]
+    )
     zero = {w.name: F.lit(0).cast("bigint") for w in windows}
     rows = grid.withColumns({**zero, "_on_grid": F.lit(True), "hour_idx": F.col("hour_idx").cast("bigint")})
     rows = rows.unionByName(changes, allowMissingColumns=True)
@@ -112,17 +106,21 @@ def grid_window_counts(
     seeds = locations.unionByName(near, allowMissingColumns=True)
     seeds = seeds.repartition(shuffle_width(spark), *KEY).withColumn("_range", limits)
 
+    # A place becomes its days and their hours, an event hour its steps.
     days = "if(_hour is null, sequence(_range.start_date, _range.end_date), array(cast(null as date)))"
     seeds = seeds.withColumn("_day", F.expr(f"explode({days})")).drop("_range")
+    steps = sorted({*_steps(windows), *([0] if payload else [])})
+    hours = f"if(_hour is null, sequence(0, 23), array({', '.join(map(str, steps))}))"
+    seeds = seeds.withColumn("_step", F.expr(f"explode({hours})"))
 
     carried = [c for c in locations.columns if c not in KEY]
-    hour_of_day = _row("unix_date(_day) * 24L + h", True, windows, {})
-    own_hour = [_row("_hour", False, windows, {})] if payload else []
-    made = (
-        f"if(_hour is null, transform(sequence(0, 23), h -> {hour_of_day}), "
-        f"array({', '.join([*own_hour, *_changes(windows)])}))"
-    )
-    rows = seeds.select(*KEY, *carried, "_hour", "_payload", F.expr(f"inline({made})"))
+    on_grid = F.col("_hour").isNull()
+    origin = F.when(on_grid, day_hour_index(F.col("_day"), F.lit(0))).otherwise(F.col("_hour"))
+    counts = [F.when(on_grid, F.lit(0)).otherwise(_change(w)).alias(w.name) for w in windows]
+    rows = seeds.select(
+        *KEY, *carried, "_hour", "_payload", (origin + F.col("_step")).alias("hour_idx"),
+        on_grid.alias("_on_grid"), *counts,
+    )
 
     computed = _running_sums(windows)
     if payload:
