@@ -50,8 +50,12 @@ def _middle(values: Column) -> Column:
 
 
 def _one_task_weather(events: DataFrame) -> DataFrame:
-    """Sorted lists per group: nearly twice as fast as the built-in median on many small groups."""
-    lists = events.groupBy(*PLACE_HOUR).agg(
+    """Sorted lists per group: nearly twice as fast as the built-in median on many small groups.
+
+    Rows are sent to their group first: lists built before the shuffle would be no smaller than the
+    rows, and building them twice costs more than half as much again.
+    """
+    lists = events.repartition(*PLACE_HOUR).groupBy(*PLACE_HOUR).agg(
         F.count(F.lit(1)).alias("event_count"),
         *[F.sort_array(F.collect_list(c)).alias(c) for c in WEATHER_COLUMNS],
         F.mode("weather_condition", True).alias("weather_condition"),
