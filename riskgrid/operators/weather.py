@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,8 +63,7 @@ def _one_task_weather(events: DataFrame) -> DataFrame:
     return lists.withColumns({c: _middle(F.col(c)) for c in WEATHER_COLUMNS})
 
 
-def _split_weather(events: DataFrame, hot: DataFrame) -> DataFrame:
-    hot_events = events.join(F.broadcast(hot.select(*PLACE_HOUR)), PLACE_HOUR, "left_semi")
+def _split_weather(hot_events: DataFrame, hot: DataFrame) -> DataFrame:
     modes = exact_modes(hot_events, PLACE_HOUR, "weather_condition")
     medians = exact_medians(hot_events, PLACE_HOUR, WEATHER_COLUMNS)
     # Start from the counts: a place-hour whose measures are all null has no median row.
@@ -72,17 +71,23 @@ def _split_weather(events: DataFrame, hot: DataFrame) -> DataFrame:
     return joined.select(*PLACE_HOUR, "event_count", *WEATHER_COLUMNS, "weather_condition")
 
 
-def weather_by_hour(accidents: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def weather_by_hour(
+    accidents: DataFrame, hot: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Event count, exact medians and most frequent condition per place and hour.
 
     Place-hours listed in ``hot`` (from ``hot_place_hours``; fewer than 200,000, so the list is
-    broadcast) are split over many tasks; all others are worked out one group at a time.
+    broadcast) are split over many tasks; all others are worked out one group at a time. The events
+    of hot place-hours are read three times; ``keep`` may store them first.
     """
     events = _weather_events(accidents)
     if hot is None:
         return _one_task_weather(events)
-    ordinary = events.join(F.broadcast(hot.select(*PLACE_HOUR)), PLACE_HOUR, "left_anti")
-    return _one_task_weather(ordinary).unionByName(_split_weather(events, hot))
+    listed = F.broadcast(hot.select(*PLACE_HOUR))
+    ordinary = events.join(listed, PLACE_HOUR, "left_anti")
+    hot_events = events.join(listed, PLACE_HOUR, "left_semi")
+    hot_events = hot_events if keep is None else keep(hot_events)
+    return _one_task_weather(ordinary).unionByName(_split_weather(hot_events, hot))
 
 
 def join_weather(grid: DataFrame, weather: DataFrame) -> DataFrame:

@@ -36,7 +36,10 @@ ONE_TASK_ROWS = 2_000_000
 def place_hours(accidents: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Staged event counts and weather per place and hour; hot place-hours are split if there are any."""
     hot = stage(hot_place_hours(accidents, hot_rows), "hot-place-hours")
-    return stage(weather_by_hour(accidents, None if hot.isEmpty() else hot), "place-hours")
+    weather = weather_by_hour(
+        accidents, None if hot.isEmpty() else hot, lambda hot_events: stage(hot_events, "hot-events")
+    )
+    return stage(weather, "place-hours")
 
 
 def grid_medians(hours: DataFrame) -> DataFrame:

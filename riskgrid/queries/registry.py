@@ -747,7 +747,8 @@ def q73_latest_metadata_of_one(spark, sf_dir):
 def q74_align_features(spark, sf_dir):
     names = ["humidity", "hour", "not_in_table", "accidents_last_24h", "is_holiday"]
     table = feature_table(spark, sf_dir).withColumn("humidity", F.nullif("humidity", F.lit(50.0)))
-    aligned = encoding.align_features(table.withColumn("hour_of_day", F.col("hour")), names, ["location_id", "feature_date", "hour_of_day"])
+    table = table.withColumn("hour_of_day", F.col("hour"))
+    aligned = encoding.align_features(table, names, ["location_id", "feature_date", "hour_of_day"])
     return rounded(aligned, "humidity")
 
 

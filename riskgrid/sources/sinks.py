@@ -94,7 +94,8 @@ def _by_partition(df: DataFrame, columns: Sequence[str], order: Sequence[str] =
 
 def write_features(features: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Feature table partitioned by date, so that scoring a day reads a day."""
-    _by_partition(features, ["feature_date"], ["location_id", "hour"]).write.mode(mode).partitionBy("feature_date").parquet(path)
+    rows = _by_partition(features, ["feature_date"], ["location_id", "hour"])
+    rows.write.mode(mode).partitionBy("feature_date").parquet(path)
 
 
 def replace_days(predictions: DataFrame, path: str, column: str = "prediction_date") -> None:

@@ -99,7 +99,8 @@ def test_prediction_files(spark, scratch, kind):
 
 
 def test_features_are_pruned_by_day(spark, scratch):
-    rows = spark.sql("select explode(sequence(date '2024-01-01', date '2024-01-03')) as feature_date, 3 as hour, 'p' as location_id")
+    days = "explode(sequence(date '2024-01-01', date '2024-01-03')) as feature_date"
+    rows = spark.sql(f"select {days}, 3 as hour, 'p' as location_id")
     sinks.write_features(rows, scratch)
     day = scoring.features_for_day(scans.parquet_table(spark, scratch), "2024-01-02")
     assert day.count() == 1
@@ -121,7 +122,8 @@ def test_read_sql_parameters(spark):
     text = "select accident_id from {t} where v > :v"
     assert [r[0] for r in scans.read_sql(spark, text, {"v": 2}, t=df).collect()] == ["b"]
     assert scans.read_sql(spark, "select count(*) from {t}", t=df).first()[0] == 2
-    assert [r[0] for r in scans.read_sql(spark, "select accident_id from {t} where accident_id = ?", ["x' or '1'='1"], t=df).collect()] == []
+    text = "select accident_id from {t} where accident_id = ?"
+    assert scans.read_sql(spark, text, ["x' or '1'='1"], t=df).isEmpty()
 
 
 def test_metadata_round_trip(spark, scratch):
