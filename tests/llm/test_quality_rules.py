@@ -1,0 +1,60 @@
+import re
+
+from riskgrid.llm import quality_rules as q
+from tests.llm.fixture import corpus, empty, frame
+
+ODD = ["a b c d e " * 2, "a b c d e f g h i j", "w " * 100, "l1 x\nl1 x\n\n \nl1 x\r\nl1 x", "# $ % & | < > *" * 9, "one\vtwo\fthree\x1cfour five", "LOUD!! " * 30]
+
+
+def brute(text):
+    text = text or ""
+    found = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+    w = [text[a:b] for a, b in found]
+    windows = {}
+    for k in range(len(w) - 4):
+        windows.setdefault(tuple(w[k : k + 5]), []).append(k)
+    covered = {k + j for ks in windows.values() if len(ks) > 1 for k in ks for j in range(5)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    n = len(w)
+    return n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered), n < 10 or 100 * len(covered) > 20 * n
+
+
+def test_measures_against_brute_force(spark):
+    rows = corpus() + [(30_000 + k, t) for k, t in enumerate(ODD)]
+    got = q.assess(frame(spark, rows)).collect()
+    columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    assert sorted(((r.doc_id, *[r[c] for c in columns]) for r in got), key=repr) == sorted(((i, *brute(t)) for i, t in rows), key=repr)
+    assert not any(r.kept and r.base_failed for r in got)
+
+
+def test_order_changes_no_verdict_and_stops_early():
+    n = len(q.RULES)
+    for _, text in corpus(60):
+        data = (text or "").encode()
+        every = not any(r.rejects(q.Measures(data)) for r in q.RULES)
+        for order in ([*range(n)], [*range(n)][::-1]):
+            assert q.passes(q.Measures(data), order) == every
+    m = q.Measures(b"short")
+    q.passes(m, [0, 1, 2, 3, 4, 5])
+    assert "n_repeat_words" not in m.__dict__
+
+
+def test_order_by_rejection_per_cost(spark):
+    order = q.cascade_order(frame(spark, corpus()))
+    assert sorted(order) == list(range(len(q.RULES)))
+    rows = {r["rule"]: r for r in q.sample_costs(frame(spark, corpus())).collect()}
+    assert rows[0]["seen"] <= q.SAMPLE_ROWS and rows[0]["rejected"] > 0
+
+
+def test_keep_leaves_columns_and_clean_rows(spark):
+    rows = corpus()
+    df = frame(spark, rows)
+    kept = q.keep(df)
+    assert kept.columns == df.columns
+    want = sorted([(i, t) for i, t in rows if q.passes(q.Measures((t or "").encode()), range(len(q.RULES)))], key=repr)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == want
+    assert q.keep(empty(spark)).count() == 0 and q.assess(empty(spark)).count() == 0
