@@ -9,9 +9,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from riskgrid.llm.common import sha256, slices, spans_text, stable_sample, texts
+from riskgrid.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -20,13 +20,13 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TAGS = ("other", *KINDS)
 
-#: The labelled table holds at most so many documents of each sort: with base spans, and without.
-TRAIN_DOCS = 400
+#: The labelled table comes from at most so many documents, and excerpts without a span from so many of them.
+TRAIN_DOCS, PLAIN_DOCS = 4000, 400
 #: Characters around a labelled span, and at the start of a document without any, that become training words.
-CONTEXT = 160
+CONTEXT = 100
 #: Words in a sequence: a line is cut after so many.
 SEQUENCE = 64
-EPOCHS = 150
+EPOCHS = 80
 PENALTY = 1e-4
 #: Words remembered per Python worker.
 CACHE_WORDS = 400_000
@@ -110,10 +110,10 @@ def sequences(text: str) -> list[list[tuple[str, int, int]]]:
     return [*out, line] if line else out
 
 
-def labelled(docs: DataFrame, rows: int = TRAIN_DOCS) -> DataFrame:
-    """The labelled table: (text, spans) of excerpts, from at most 2 * ``rows`` documents in digest order.
+def labelled(docs: DataFrame, rows: int = TRAIN_DOCS, plain: int = PLAIN_DOCS) -> DataFrame:
+    """The labelled table: (text, spans) of excerpts, from at most ``rows`` documents in digest order.
 
-    Excerpts are the surroundings of base spans, and the starts of documents that have none.
+    Excerpts are the surroundings of base spans, at most 8 a document, and the starts of ``plain`` documents without any.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,26 +122,21 @@ def labelled(docs: DataFrame, rows: int = TRAIN_DOCS) -> DataFrame:
             for doc, data in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 text = data.decode("utf-8", "replace")
                 spans = [(k, a, b) for k, found in base_spans(text).items() for a, b in found]
-                if not spans:
-                    spans = [("other", 0, 0)]
-                for kind, a, b in spans[:8]:
+                for kind, a, b in spans[:8] or [("other", 0, 0)]:
                     low, high = max(0, a - CONTEXT), b + CONTEXT
                     for key, value in zip(out, (doc, text[low:high], a - low, b - low, kind)):
                         out[key].append(value)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("tag", pa.string())]))
 
-    likely = F.col("text").rlike(r"@[A-Za-z0-9-]+\.|\+[0-9]|[0-9]{16}|[0-9]\.[0-9]+\.[0-9]")
-    plain = docs.select("doc_id", "text")
-    chosen = stable_sample(plain.where(likely), rows, "labelled").unionAll(
-        stable_sample(plain.where(~F.coalesce(likely, F.lit(False))), rows, "unlabelled")
-    )
-    return texts(chosen).mapInArrow(run, "doc_id long, text string, start long, end long, tag string")
+    sample = stable_sample(docs.select("doc_id", "text"), rows, "labelled")
+    found = stage(texts(sample).mapInArrow(run, "doc_id long, text string, start long, end long, tag string"), "labelled")
+    return found.where("tag != 'other'").unionAll(found.where("tag = 'other'").orderBy("doc_id").limit(plain))
 
 
-def train(docs: DataFrame, rows: int = TRAIN_DOCS) -> Model:
+def train(docs: DataFrame, rows: int = TRAIN_DOCS, plain: int = PLAIN_DOCS) -> Model:
     """A model from the labelled table of ``docs``; without any rows it tags nothing. The bounded table is read by the driver."""
     examples = []
-    for row in labelled(docs, rows).orderBy("doc_id", "start", "tag").collect():
+    for row in labelled(docs, rows, plain).orderBy("doc_id", "start", "tag").collect():
         spans = [(k, a, b) for k, found in base_spans(row["text"]).items() for a, b in found]
         for line in sequences(row["text"]):
             tags = [next((TAGS.index(k) for k, a, b in spans if a < e and s < b), 0) for _, s, e in line]
@@ -201,7 +196,7 @@ def fit(examples: list[tuple[list[str], list[int]]], epochs: int = EPOCHS) -> Mo
         gradient = gradient / n - PENALTY * weights
         moment = 0.9 * moment + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
-        weights += 0.1 * (moment / (1 - 0.9**epoch)) / (np.sqrt(square / (1 - 0.99**epoch)) + 1e-8)
+        weights += 0.15 * (moment / (1 - 0.9**epoch)) / (np.sqrt(square / (1 - 0.99**epoch)) + 1e-8)
     pick = lambda head: {k[len(head) :]: weights[v] for k, v in names.items() if k.startswith(head)}
     own = {k: weights[v] for k, v in names.items() if not k.startswith(("before:", "after:"))}
     return Model(own, pick("before:"), pick("after:"), weights[len(names) :].copy())
