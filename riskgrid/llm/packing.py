@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -15,8 +17,10 @@ from riskgrid.llm.common import slices, texts
 from riskgrid.session import shuffle_width, stage
 
 CAPACITY = 2048
-#: Words whose ids a Python worker remembers.
-CACHE_WORDS = 400_000
+#: Words, and runs of letters in them, whose ids a Python worker remembers.
+CACHE_WORDS, CACHE_LETTERS = 150_000, 500_000
+#: Latin letters (whose lower case is one letter each) and then ASCII marks but the apostrophe.
+SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 #: Fillings that the search around one largest piece may look at before it takes its incumbent.
 FILLING_NODES = 3000
 #: Times that the whole search goes back and takes another filling.
@@ -28,41 +32,79 @@ class WordIds:
     """Token ids of texts, from the ids of their words.
 
     The tokenizer cuts at white space before it merges, so a text's ids are those of its words in order (ASCII blanks
-    only: other white space is left to the tokenizer).
+    only: other white space is left to the tokenizer). It also cuts between letters and marks, and lowers letters: a
+    word of Latin letters and ASCII marks has the ids of its lower-case letters and then those of its marks.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.letters: dict[str, bytes] = {}
 
-    def learn(self, words: list[bytes]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known.clear()
+    def _encoded(self, texts: list[str]) -> list[bytes]:
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for i in range(0, len(words), 4096):
-            part = words[i : i + 4096]
-            made = encode([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, made))
+        return [np.array(e.ids, "<u4").tobytes() for e in encode(texts, add_special_tokens=False)]
+
+    def _learn_letters(self, wanted: set[str]) -> None:
+        """All in one text: each run of letters is one word to the tokenizer, so its word numbers say whose an id is."""
+        new = list(wanted.difference(self.letters))
+        if len(self.letters) + len(new) > CACHE_LETTERS:
+            self.letters.clear()
+            new = list(wanted)
+        for i in range(0, len(new), 20_000):
+            part = new[i : i + 20_000]
+            made = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(made.ids, "<u4").tobytes()
+            ends = (4 * np.cumsum(np.bincount(np.array(made.word_ids), minlength=len(part)))).tolist()
+            self.letters.update((w, ids[a:b]) for w, a, b in zip(part, [0, *ends[:-1]], ends))
+
+    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that aren't known yet; kept as long as there is room."""
+        simple, rest = [], []
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            m = SIMPLE.fullmatch(text)
+            if m:
+                simple.append((word, m[1].lower(), m[2]))
+            else:
+                rest.append((word, text))
+        self._learn_letters({letters for _, letters, _ in simple})
+        marks = list({m for _, _, m in simple})
+        of_marks = dict(zip(marks, self._encoded(marks)))
+        made = {word: self.letters[letters] + of_marks[m] for word, letters, m in simple}
+        made.update(zip((w for w, _ in rest), self._encoded([t for _, t in rest])))
+        room = CACHE_WORDS - len(self.words)
+        if room > 0:
+            self.words.update(itertools.islice(made.items(), room))
+        return made
 
     def __call__(self, data: list[bytes]) -> list[bytes]:
         """Per text the ids and then id 0, as little-endian 32-bit numbers."""
         split = [x.split() for x in data]
-        new = set().union(*split).difference(self.known) if split else set()
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = set().union(*split)
-        self.learn(list(new))
-        get = self.known.__getitem__
+        used = set().union(*split)
+        known = {w: self.words[w] for w in used & self.words.keys()}
+        known.update(self.learn(used.difference(known)))
+        get = known.__getitem__
         return [b"".join(map(get, words)) + _END for words in split]
 
 
+_WORD_IDS: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """One for each tokenizer and Python worker: later tasks find the words of earlier ones."""
+    if path not in _WORD_IDS:
+        _WORD_IDS[path] = WordIds(path)
+    return _WORD_IDS[path]
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: documents longer than ``capacity`` are cut, the others are whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = WordIds(tokenizer_path)
+        ids_of = word_ids(tokenizer_path)
         for batch in slices(batches, limit=4 << 20):
             names = ("doc_id", "piece", "start", "length", "ids_crc32")
             rows: list[tuple] = []

@@ -96,3 +96,22 @@ def test_without_rows(spark):
     assert p.pack(empty(spark), PATH).count() == 0
     got = p.pack(frame(spark, [(1, None), (2, ""), (None, "")]), PATH).collect()
     assert {r.sequence_id for r in got} == {0} and sorted(r.offset for r in got) == [0, 1, 2]
+
+
+def test_ids_of_words_equal_ids_of_texts():
+    rng = random.Random(8)
+    alphabet = "abzABZ éÉßİıŉǅΣσς'sS.,!<|>-_%0123\u0301\u00a0\x1c\u200b\U0001f600中 \n\t"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    texts += ["It's <|endoftext|>x y<|startoftext|>.", "ÀÖØöøįıɏ ÷×", "Hello, World... don't!!", "e\u0301cole ΑΣ ΑΣ."]
+    t = Tokenizer.from_file(PATH)
+    want = [np.array(e.ids + [0], "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert p.WordIds(PATH)([x.encode() for x in texts]) == want
+
+
+def test_ids_with_a_full_memory(monkeypatch):
+    monkeypatch.setattr(p, "CACHE_WORDS", 20)
+    monkeypatch.setattr(p, "CACHE_LETTERS", 30)
+    made, t = p.WordIds(PATH), Tokenizer.from_file(PATH)
+    for _, text in corpus(40):
+        ids = t.encode(text or "", add_special_tokens=False).ids + [0]
+        assert made([(text or "").encode()]) == [np.array(ids, "<u4").tobytes()]
