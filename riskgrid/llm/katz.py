@@ -23,14 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgrid.llm.common import id_remainder, mixed, numbering, numbers_of, texts
+from riskgrid.llm.common import id_remainder, mixed, numbering, texts
 from riskgrid.session import scratch_path, stage
 
 #: Counts up to this are discounted by Good-Turing.
 CUTOFF = 5
 BEYOND = 0.01
 #: Bytes of text in a block, and entries (about) that a bucket gets.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 BUCKET_ENTRIES = 1_500_000
 HELD_OUT, FOLDS = 2, 7
 #: The token behind the last word; no word holds a blank.
@@ -117,13 +117,13 @@ class Block:
 
     def __init__(self, table: pa.Table):
         ids = numbering()
-        self.end = ids[END]
+        ids[END]
         self.training = np.array(table.column("training").to_pylist(), bool)
         parts, sizes = [], []
         for text in table.column("text").to_pylist():
             words = text.lower().split()
             words.append(END)
-            parts.append(numbers_of(words, ids))
+            parts.append(np.fromiter(map(ids.__getitem__, words), np.int32, len(words)))
             sizes.append(len(words))
         self.tokens = np.concatenate(parts)
         self.sizes = np.array(sizes, np.int64)
@@ -133,8 +133,8 @@ class Block:
         # Words in order of their hashes: the order of questions and answers.
         order = np.argsort(hashes, kind="stable")
         self.hashes = hashes[order]
-        place = np.empty_like(order)
-        place[order] = np.arange(len(order))
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
         self.tokens = place[self.tokens]
 
     def word_counts(self) -> np.ndarray:
