@@ -18,9 +18,11 @@ from riskgrid.session import shuffle_width, stage
 
 CAPACITY = 2048
 #: Words, and runs of letters in them, whose ids a Python worker remembers.
-CACHE_WORDS, CACHE_LETTERS = 150_000, 500_000
-#: Latin letters (whose lower case is one letter each) and then ASCII marks but the apostrophe.
-SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
+CACHE_WORDS, CACHE_LETTERS = 300_000, 450_000
+#: ASCII marks but the apostrophe, which the tokenizer's rules single out.
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Latin letters whose lower case is one letter each.
+LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 #: Fillings that the search around one largest piece may look at before it takes its incumbent.
 FILLING_NODES = 3000
 #: Times that the whole search goes back and takes another filling.
@@ -33,7 +35,7 @@ class WordIds:
 
     The tokenizer cuts at white space before it merges, so a text's ids are those of its words in order (ASCII blanks
     only: other white space is left to the tokenizer). It also cuts between letters and marks, and lowers letters: a
-    word of Latin letters and ASCII marks has the ids of its lower-case letters and then those of its marks.
+    word of Latin letters and then ASCII marks has the ids of the letters and then those of the marks.
     """
 
     def __init__(self, path: str):
@@ -41,13 +43,13 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[bytes, bytes] = {}
-        self.letters: dict[str, bytes] = {}
+        self.letters: dict[bytes, bytes] = {}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         return [np.array(e.ids, "<u4").tobytes() for e in encode(texts, add_special_tokens=False)]
 
-    def _learn_letters(self, wanted: set[str]) -> None:
+    def _learn_letters(self, wanted: set[bytes]) -> None:
         """All in one text: each run of letters is one word to the tokenizer, so its word numbers say whose an id is."""
         new = list(wanted.difference(self.letters))
         if len(self.letters) + len(new) > CACHE_LETTERS:
@@ -55,38 +57,38 @@ class WordIds:
             new = list(wanted)
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
-            made = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            made = self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False)
             ids = np.array(made.ids, "<u4").tobytes()
             ends = (4 * np.cumsum(np.bincount(np.array(made.word_ids), minlength=len(part)))).tolist()
             self.letters.update((w, ids[a:b]) for w, a, b in zip(part, [0, *ends[:-1]], ends))
 
-    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of words that aren't known yet; kept as long as there is room."""
-        simple, rest = [], []
+    def learn(self, words: set[bytes]) -> None:
+        heads, rest = {}, []
         for word in words:
-            text = word.decode("utf-8", "replace")
-            m = SIMPLE.fullmatch(text)
-            if m:
-                simple.append((word, m[1].lower(), m[2]))
+            head = word.rstrip(MARKS)
+            if head.isalpha() or head and not head.isascii() and LATIN.fullmatch(head.decode("utf-8", "replace")):
+                heads[word] = head
             else:
-                rest.append((word, text))
-        self._learn_letters({letters for _, letters, _ in simple})
-        marks = list({m for _, _, m in simple})
-        of_marks = dict(zip(marks, self._encoded(marks)))
-        made = {word: self.letters[letters] + of_marks[m] for word, letters, m in simple}
-        made.update(zip((w for w, _ in rest), self._encoded([t for _, t in rest])))
-        room = CACHE_WORDS - len(self.words)
-        if room > 0:
-            self.words.update(itertools.islice(made.items(), room))
-        return made
+                rest.append(word)
+        self._learn_letters(set(heads.values()))
+        marks = list({word[len(head) :] for word, head in heads.items()})
+        of_marks = dict(zip(marks, self._encoded([m.decode() for m in marks])))
+        of_letters, known = self.letters, self.words
+        for word, head in heads.items():
+            known[word] = of_letters[head] if len(word) == len(head) else of_letters[head] + of_marks[word[len(head) :]]
+        known.update(zip(rest, self._encoded([w.decode("utf-8", "replace") for w in rest])))
 
     def __call__(self, data: list[bytes]) -> list[bytes]:
         """Per text the ids and then id 0, as little-endian 32-bit numbers."""
-        split = [x.split() for x in data]
+        # Lower-casing first leaves fewer words; not where it could make the name of a special token.
+        split = [(x if b"<|" in x else x.lower()).split() for x in data]
         used = set().union(*split)
-        known = {w: self.words[w] for w in used & self.words.keys()}
-        known.update(self.learn(used.difference(known)))
-        get = known.__getitem__
+        new = used.difference(self.words)
+        if len(self.words) + len(new) > CACHE_WORDS:
+            self.words.clear()
+            new = used
+        self.learn(new)
+        get = self.words.__getitem__
         return [b"".join(map(get, words)) + _END for words in split]
 
 
