@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import operator
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -59,6 +61,11 @@ class Measures:
     def n_dup_lines(self) -> int:
         return self._lines[1]
 
+    @cached_property
+    def n_stutters(self) -> int:
+        """Words equal to the one before."""
+        return sum(map(operator.eq, self.words, itertools.islice(self.words, 1, None)))
+
     @cached_property
     def n_repeat_words(self) -> int:
         n = len(self.words) - WINDOW + 1
@@ -90,6 +97,7 @@ RULES = (
     Rule("symbols", lambda m: 10 * m.n_symbols > m.n_words),
     Rule("repeated_lines", lambda m: m.n_dup_lines >= 4 and 10 * m.n_dup_lines > 3 * m.n_lines),
     Rule("word_length", lambda m: not 3 * m.n_words <= m.word_chars <= 10 * m.n_words),
+    Rule("stuttering", lambda m: 10 * m.n_stutters > 3 * m.n_words),
     Rule("shouting", lambda m: 2 * m.text.count(b"!") > m.n_words),
 )
 BASE = ("few_words", "repeated_windows")
