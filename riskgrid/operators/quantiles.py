@@ -21,11 +21,13 @@ def exact_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) ->
     For few but large groups. ``percentile`` would bring all distinct values of a group to one task.
     Here a mergeable sketch brackets the middle. Values below the bracket are only counted, values
     in it are counted per value, and those counts per slice of the bracket. Only the slices that
-    hold the middle, about one millionth of the group, are put in order. The result is exact.
-    Broadcast are a bracket and at most two slices per key and column, so ``keys`` must name few
-    groups (hot groups, or none at all).
+    hold the middle are put in order (all of the bracket's values at worst, if they lie close together
+    beside a wide gap). The result is exact.
+    Without keys a bracket and at most two slices per column are broadcast; with keys the joins are
+    left to Spark, which sees how many groups there are.
     """
     group = [*keys, "_measure"]
+    few = (lambda df: df) if keys else F.broadcast
     pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
     values = df.select(*keys, F.expr(f"stack({len(columns)}, {pairs}) as (_measure, _value)"))
     values = values.where(F.col("_value").isNotNull())
@@ -41,7 +43,7 @@ def exact_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) ->
         F.floor(F.col("_rows") / 2).alias("_second_middle"),
     )
     value, start, end = F.col("_value"), F.col("_from"), F.col("_to")
-    inside = values.join(F.broadcast(brackets), group).where(value <= end)
+    inside = values.join(few(brackets), group).where(value <= end)
     # Values below the bracket share the null value and slice -1.
     width = F.coalesce(F.try_divide(value - start, end - start), F.lit(0.0)) * _SLICES
     counts = inside.withColumns(
@@ -61,7 +63,7 @@ def exact_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) ->
     slices = slices.where(holds[0] | holds[1]).select(*group, "_slice", "_before")
 
     within = W.partitionBy(*group, "_slice").orderBy("_value").rowsBetween(W.unboundedPreceding, 0)
-    near = counts.join(F.broadcast(slices), [*group, "_slice"])
+    near = counts.join(few(slices), [*group, "_slice"])
     near = near.withColumn("_upto", F.col("_before") + F.sum("_count").over(within))
     first, second = (F.min(F.when(F.col("_upto") > F.col(m), value)) for m in middles)
     medians = near.groupBy(*group).agg(((first + second) / 2).alias("_median"))

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskgrid.functions.dates import hour_index
 from riskgrid.functions.geo import KEY, with_location_key
-from riskgrid.operators.quantiles import exact_medians, exact_modes
+from riskgrid.operators.quantiles import exact_medians
 from riskgrid.schemas import WEATHER_COLUMNS
 
 PLACE_HOUR = [*KEY, "hour_idx"]
@@ -17,12 +18,6 @@ PLACE_HOUR = [*KEY, "hour_idx"]
 # Words that mark severe weather, case as written.
 SEVERE_WORDS = ["Snow", "Heavy Rain", "Fog", "Storm", "Ice", "Sleet"]
 
-# A place-hour with more events than this is hot: its medians are not worked out in one task.
-HOT_ROWS = 100_000
-# Hot place-hours also hold over 1/200,000 of all events each, so their list has fewer rows than this.
-_HOT_LIST = 200_000
-
-
 def with_place_hour(accidents: DataFrame) -> DataFrame:
     return with_location_key(accidents).withColumn("hour_idx", hour_index(F.col("timestamp")))
 
@@ -32,62 +27,35 @@ def hour_counts(accidents: DataFrame) -> DataFrame:
     return with_place_hour(accidents).groupBy(*PLACE_HOUR).agg(F.count(F.lit(1)).alias("event_count"))
 
 
-def hot_place_hours(accidents: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Place-hours above ``hot_rows`` and above their share of all events, with their event count."""
-    share = accidents.agg(F.count(F.lit(1)) / F.lit(_HOT_LIST)).scalar()
-    return hour_counts(accidents).where(F.col("event_count") > F.greatest(F.lit(float(hot_rows)), share))
-
-
-def _weather_events(accidents: DataFrame) -> DataFrame:
-    return with_place_hour(accidents).select(*PLACE_HOUR, *WEATHER_COLUMNS, "weather_condition")
-
-
-def _middle(values: Column) -> Column:
-    """Median of a sorted array, null if it is empty."""
-    size = F.size(values)
-    pair = F.get(values, F.floor((size - 1) / 2).cast("int")) + F.get(values, F.floor(size / 2).cast("int"))
-    return F.when(size > 0, pair / 2)
-
-
-def _one_task_weather(events: DataFrame) -> DataFrame:
-    """Sorted lists per group: nearly twice as fast as the built-in median on many small groups.
-
-    Rows are sent to their group first: lists built before the shuffle would be no smaller than the
-    rows, and building them twice costs more than half as much again.
-    """
-    lists = events.repartition(*PLACE_HOUR).groupBy(*PLACE_HOUR).agg(
-        F.count(F.lit(1)).alias("event_count"),
-        *[F.sort_array(F.collect_list(c)).alias(c) for c in WEATHER_COLUMNS],
-        F.mode("weather_condition", True).alias("weather_condition"),
-    )
-    return lists.withColumns({c: _middle(F.col(c)) for c in WEATHER_COLUMNS})
-
-
-def _split_weather(hot_events: DataFrame, hot: DataFrame) -> DataFrame:
-    modes = exact_modes(hot_events, PLACE_HOUR, "weather_condition")
-    medians = exact_medians(hot_events, PLACE_HOUR, WEATHER_COLUMNS)
-    # Start from the counts: a place-hour whose measures are all null has no median row.
-    joined = hot.join(modes, PLACE_HOUR, "left").join(medians, PLACE_HOUR, "left")
-    return joined.select(*PLACE_HOUR, "event_count", *WEATHER_COLUMNS, "weather_condition")
-
-
-def weather_by_hour(
-    accidents: DataFrame, hot: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] | None = None
-) -> DataFrame:
+def weather_by_hour(accidents: DataFrame) -> DataFrame:
     """Event count, exact medians and most frequent condition per place and hour.
 
-    Place-hours listed in ``hot`` (from ``hot_place_hours``; fewer than 200,000, so the list is
-    broadcast) are split over many tasks; all others are worked out one group at a time. The events
-    of hot place-hours are read three times; ``keep`` may store them first.
+    One route for every place-hour. Events are first counted per value, in the map tasks already, so
+    what is sent grows with the distinct values of a place-hour and not with its events. Medians are
+    read off running counts: one measure of one place-hour is a window partition, which can spill.
     """
-    events = _weather_events(accidents)
-    if hot is None:
-        return _one_task_weather(events)
-    listed = F.broadcast(hot.select(*PLACE_HOUR))
-    ordinary = events.join(listed, PLACE_HOUR, "left_anti")
-    hot_events = events.join(listed, PLACE_HOUR, "left_semi")
-    hot_events = hot_events if keep is None else keep(hot_events)
-    return _one_task_weather(ordinary).unionByName(_split_weather(hot_events, hot))
+    events = with_place_hour(accidents)
+    measures = [f"'{c}', cast(`{c}` as double), cast(null as string)" for c in WEATHER_COLUMNS]
+    pairs = ", ".join([*measures, "'_condition', cast(null as double), weather_condition"])
+    long = events.select(*PLACE_HOUR, F.expr(f"stack({len(measures) + 1}, {pairs}) as (_measure, _value, _text)"))
+    is_condition = F.col("_measure") == "_condition"
+    counts = long.where(is_condition | F.col("_value").isNotNull())
+    counts = counts.groupBy(*PLACE_HOUR, "_measure", "_value", "_text").agg(F.count(F.lit(1)).alias("_count"))
+
+    values = W.partitionBy(*PLACE_HOUR, "_measure")
+    upto = F.sum("_count").over(values.orderBy("_value", "_text").rowsBetween(W.unboundedPreceding, 0))
+    placed = counts.withColumns({"_upto": upto, "_rows": F.sum("_count").over(values)})
+    # Ranks, from 0, of the two middle values: a value holds the ranks below _upto that no smaller one holds.
+    middles = [F.floor((F.col("_rows") - 1) / 2), F.floor(F.col("_rows") / 2)]
+    before = F.col("_upto") - F.col("_count")
+    holds = [(before <= m) & (m < F.col("_upto")) for m in middles]
+    middle = lambda c, h: F.max(F.when((F.col("_measure") == c) & h, F.col("_value")))
+    commonest = F.when(is_condition & F.col("_text").isNotNull(), F.struct((-F.col("_count")).alias("rank"), "_text"))
+    return placed.where(is_condition | holds[0] | holds[1]).groupBy(*PLACE_HOUR).agg(
+        F.sum(F.when(is_condition, F.col("_count"))).alias("event_count"),
+        *[((middle(c, holds[0]) + middle(c, holds[1])) / 2).alias(c) for c in WEATHER_COLUMNS],
+        F.min(commonest)["_text"].alias("weather_condition"),
+    )
 
 
 def join_weather(grid: DataFrame, weather: DataFrame) -> DataFrame:

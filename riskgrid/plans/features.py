@@ -25,31 +25,18 @@ from riskgrid.operators.locations import (
     with_cluster,
 )
 from riskgrid.operators.quantiles import exact_medians
-from riskgrid.operators.weather import HOT_ROWS, fill_with, hot_place_hours, weather_by_hour, with_severe_flag
+from riskgrid.operators.weather import fill_with, weather_by_hour, with_severe_flag
 from riskgrid.operators.windows import LABEL_HOURS, TRAILING, ahead, grid_window_counts, label_column, lag_columns
 from riskgrid.session import stage
 
-# Rows whose values one task may hold in memory at a time.
-ONE_TASK_ROWS = 2_000_000
-
-
-def place_hours(accidents: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Staged event counts and weather per place and hour; hot place-hours are split if there are any."""
-    hot = stage(hot_place_hours(accidents, hot_rows), "hot-place-hours")
-    weather = weather_by_hour(
-        accidents, None if hot.isEmpty() else hot, lambda hot_events: stage(hot_events, "hot-events")
-    )
-    return stage(weather, "place-hours")
+def place_hours(accidents: DataFrame) -> DataFrame:
+    """Staged event counts and weather per place and hour."""
+    return stage(weather_by_hour(accidents), "place-hours")
 
 
 def grid_medians(hours: DataFrame) -> DataFrame:
-    """Median of each weather column over the grid: a place-hour fills exactly one grid row.
-
-    Up to ``ONE_TASK_ROWS`` place-hours, counted first, one task may hold all values.
-    """
-    if hours.count() > ONE_TASK_ROWS:
-        return exact_medians(hours, [], schemas.WEATHER_COLUMNS)
-    return hours.agg(*[F.median(c).alias(c) for c in schemas.WEATHER_COLUMNS])
+    """Median of each weather column over the grid: a place-hour fills exactly one grid row."""
+    return exact_medians(hours, [], schemas.WEATHER_COLUMNS)
 
 
 def build_features(
@@ -63,7 +50,6 @@ def build_features(
     cluster_method: str = "kmeans",
     cell_size: float = 1.0,
     label_hours: int = LABEL_HOURS,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per place, date and hour with all features and the label.
 
@@ -71,7 +57,7 @@ def build_features(
     ``cluster_method`` is ``kmeans`` or ``cells``; a ``cluster_map`` overrides it.
     All places are used unless ``locations`` (key columns) or ``max_locations`` narrows them.
     """
-    hours = place_hours(accidents, hot_rows)
+    hours = place_hours(accidents)
     if start is None or end is None:
         span = hours.agg(
             index_date(F.min("hour_idx")).alias("start_date"), index_date(F.max("hour_idx")).alias("end_date")

@@ -95,7 +95,6 @@ def test_whole_history(spark):
         cluster_of(spark, rows),
     )
     check(build_features(frame(spark, rows), cluster_method="cells"), want)
-    check(build_features(frame(spark, rows), cluster_method="cells", hot_rows=1), want)
 
 
 def test_listed_places_and_dates(spark):

@@ -62,20 +62,45 @@ def accident_rows(spark, n=400):
     )
 
 
-def test_split_weather_equals_one_task_weather_and_builtins(spark):
+def test_weather_equals_builtins(spark):
     accidents = accident_rows(spark)
-    one_task = wx.weather_by_hour(accidents)
-    some_hot = wx.weather_by_hour(accidents, wx.hot_place_hours(accidents, 20))
-    all_hot = wx.weather_by_hour(accidents, wx.hot_place_hours(accidents, 0))
+    got = wx.weather_by_hour(accidents)
     builtin = wx.with_place_hour(accidents).groupBy(*wx.PLACE_HOUR).agg(
         F.count(F.lit(1)).alias("event_count"),
         *[F.median(c).alias(c) for c in schemas.WEATHER_COLUMNS],
         F.mode("weather_condition", True).alias("weather_condition"),
     )
-    for other in (one_task, some_hot, all_hot):
-        assert other.columns == builtin.columns
-        assert other.exceptAll(builtin).isEmpty() and builtin.exceptAll(other).isEmpty()
-    assert 0 < wx.hot_place_hours(accidents, 20).count() < one_task.count()
+    assert got.columns == builtin.columns
+    assert got.exceptAll(builtin).isEmpty() and builtin.exceptAll(got).isEmpty()
+
+
+def shape(df):
+    """The operators of the plan, without sizes and numbers."""
+    text = df._jdf.queryExecution().sparkPlan().toString()
+    return [line.strip(" +-:").split("(")[0].split(" ")[0] for line in text.splitlines()]
+
+
+def test_one_plan_for_any_share_of_a_place_hour(spark):
+    """Most events in one place-hour, at two sizes: the same plan, and the built-in medians."""
+    plans = []
+    for n in (2_000, 60_000):
+        events = spark.range(n).select(
+            F.col("id").cast("string").alias("accident_id"),
+            F.expr("timestamp_ntz'2024-01-01 05:00:00' + make_dt_interval(0, if(id % 10 < 8, 0, cast(id % 7 as int)), 0, 0)").alias("timestamp"),
+            F.lit(1.0).alias("latitude"),
+            F.when(F.col("id") % 10 < 8, 1.0).otherwise((F.col("id") % 5).cast("double")).alias("longitude"),
+            *[F.when(F.col("id") % (k + 3) > 0, F.round(F.rand(k) * 500, 1)).alias(c) for k, c in enumerate(schemas.WEATHER_COLUMNS)],
+            F.when(F.col("id") % 4 > 0, F.concat(F.lit("c"), F.col("id") % 3)).alias("weather_condition"),
+        ).cache()
+        got = wx.weather_by_hour(events)
+        want = wx.with_place_hour(events).groupBy(*wx.PLACE_HOUR).agg(
+            F.count(F.lit(1)).alias("event_count"),
+            *[F.median(c).alias(c) for c in schemas.WEATHER_COLUMNS],
+            F.mode("weather_condition", True).alias("weather_condition"),
+        )
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+        plans.append(shape(got))
+    assert plans[0] == plans[1]
 
 
 def test_impute_and_severe(spark):
