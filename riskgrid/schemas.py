@@ -14,31 +14,14 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-_TYPES = {
-    "string": StringType(),
-    "int": IntegerType(),
-    "double": DoubleType(),
-    "boolean": BooleanType(),
-    "date": DateType(),
-    "timestamp": TimestampNTZType(),
-    "strings": ArrayType(StringType()),
-    "point": StructType(
-        [
-            StructField("lon", DoubleType()),
-            StructField("lat", DoubleType()),
-            StructField("srid", IntegerType()),
-        ]
-    ),
-}
-
-
-def _table(**groups: str) -> list[tuple[str, str]]:
-    return [(name, kind) for kind, names in groups.items() for name in names.split()]
-
-
-def _struct(columns: list[tuple[str, str]]) -> StructType:
-    return StructType([StructField(name, _TYPES[kind]) for name, kind in columns])
-
+STRING = StringType()
+INT = IntegerType()
+DOUBLE = DoubleType()
+BOOLEAN = BooleanType()
+DATE = DateType()
+TIME = TimestampNTZType()
+STRINGS = ArrayType(STRING)
+POINT = StructType([StructField("lon", DOUBLE), StructField("lat", DOUBLE), StructField("srid", INT)])
 
 # Raw file header -> table column.
 RAW_COLUMNS = {
@@ -55,90 +38,278 @@ RAW_COLUMNS = {
     "Visibility(mi)": "visibility_mi",
     "Wind_Speed(mph)": "wind_speed_mph",
     "Precipitation(in)": "precipitation_in",
+    "Amenity": "amenity",
+    "Bump": "bump",
+    "Crossing": "crossing",
+    "Give_Way": "give_way",
+    "Junction": "junction",
+    "No_Exit": "no_exit",
+    "Railway": "railway",
+    "Roundabout": "roundabout",
+    "Station": "station",
+    "Stop": "stop",
+    "Traffic_Calming": "traffic_calming",
+    "Traffic_Signal": "traffic_signal",
+    "Turning_Loop": "turning_loop",
+    "Weather_Condition": "weather_condition",
+    "Wind_Direction": "wind_direction",
+    "Sunrise_Sunset": "sunrise_sunset",
+    "Civil_Twilight": "civil_twilight",
+    "Nautical_Twilight": "nautical_twilight",
+    "Astronomical_Twilight": "astronomical_twilight",
+    "Street": "street",
+    "City": "city",
+    "County": "county",
+    "State": "state",
+    "Zipcode": "zipcode",
+    "Country": "country",
+    "Timezone": "timezone",
+    "Airport_Code": "airport_code",
+    "Weather_Timestamp": "weather_timestamp",
 }
-# The other raw headers differ from their table column by letter case only.
-RAW_FLAGS = (
-    "Amenity Bump Crossing Give_Way Junction No_Exit Railway Roundabout Station Stop "
-    "Traffic_Calming Traffic_Signal Turning_Loop"
-).split()
-RAW_TEXTS = (
-    "Weather_Condition Wind_Direction Sunrise_Sunset Civil_Twilight Nautical_Twilight "
-    "Astronomical_Twilight Street City County State Zipcode Country Timezone Airport_Code"
-).split()
-RAW_COLUMNS.update({name: name.lower() for name in [*RAW_FLAGS, *RAW_TEXTS, "Weather_Timestamp"]})
-
-REQUIRED_COLUMNS = ["accident_id", "timestamp", "latitude", "longitude"]
-MEASURE_COLUMNS = (
-    "distance_mi temperature_f wind_chill_f humidity pressure_in visibility_mi wind_speed_mph precipitation_in"
-).split()
-FLAG_COLUMNS = [name.lower() for name in RAW_FLAGS]
-TEXT_COLUMNS = [name.lower() for name in RAW_TEXTS]
 
-ACCIDENTS = _struct(
-    [("accident_id", "string"), ("timestamp", "timestamp"), ("latitude", "double"), ("longitude", "double")]
-    + [("severity", "int")]
-    + [(name, "double") for name in MEASURE_COLUMNS]
-    + [(name, "string") for name in TEXT_COLUMNS[:2]]
-    + [(name, "boolean") for name in FLAG_COLUMNS]
-    + [(name, "string") for name in TEXT_COLUMNS[2:]]
-    + [("weather_timestamp", "timestamp"), ("location", "point")]
-)
+# Raw headers of the flags.
+RAW_FLAGS = [
+    "Amenity",
+    "Bump",
+    "Crossing",
+    "Give_Way",
+    "Junction",
+    "No_Exit",
+    "Railway",
+    "Roundabout",
+    "Station",
+    "Stop",
+    "Traffic_Calming",
+    "Traffic_Signal",
+    "Turning_Loop",
+]
 
-CALENDAR = _struct(
-    _table(date="date", int="year month day day_of_week", string="day_name", boolean="is_weekend is_holiday")
-    + [("holiday_name", "string"), ("quarter", "int"), ("week_of_year", "int")]
-)
+# Raw headers of the texts.
+RAW_TEXTS = [
+    "Weather_Condition",
+    "Wind_Direction",
+    "Sunrise_Sunset",
+    "Civil_Twilight",
+    "Nautical_Twilight",
+    "Astronomical_Twilight",
+    "Street",
+    "City",
+    "County",
+    "State",
+    "Zipcode",
+    "Country",
+    "Timezone",
+    "Airport_Code",
+]
 
-WEATHER_COLUMNS = (
-    "temperature_f visibility_mi precipitation_in wind_speed_mph humidity pressure_in"
-).split()
+# Columns without which a row is useless.
+REQUIRED_COLUMNS = [
+    "accident_id",
+    "timestamp",
+    "latitude",
+    "longitude",
+]
+
+# Measures of an event.
+MEASURE_COLUMNS = [
+    "distance_mi",
+    "temperature_f",
+    "wind_chill_f",
+    "humidity",
+    "pressure_in",
+    "visibility_mi",
+    "wind_speed_mph",
+    "precipitation_in",
+]
+
+FLAG_COLUMNS = [name.lower() for name in RAW_FLAGS]
+TEXT_COLUMNS = [name.lower() for name in RAW_TEXTS]
+
+# Weather measures that become features.
+WEATHER_COLUMNS = [
+    "temperature_f",
+    "visibility_mi",
+    "precipitation_in",
+    "wind_speed_mph",
+    "humidity",
+    "pressure_in",
+]
 
 # The projected event scan: what the feature build reads.
 EVENT_COLUMNS = [*REQUIRED_COLUMNS, "severity", *WEATHER_COLUMNS, "weather_condition"]
 
+# Fixed value: the label.
 TARGET = "accident_occurred_next_24h"
 
-FEATURES = _struct(
-    [("feature_date", "date"), ("location_id", "string"), ("latitude", "double"), ("longitude", "double")]
-    + _table(int="hour day_of_week month", boolean="is_weekend is_holiday is_rush_hour")
-    + [(name, "double") for name in WEATHER_COLUMNS]
-    + [("weather_condition", "string"), ("is_severe_weather", "boolean")]
-    + _table(int="accident_freq_historical rolling_7day_accidents rolling_30day_accidents cluster_id")
-    + [("road_type", "string")]
-    + _table(
-        int="accidents_last_24h accidents_last_7days",
-        double="moving_avg_3day moving_avg_7day moving_avg_30day",
-    )
-    + [(TARGET, "int")]
+# The event table.
+ACCIDENTS = StructType(
+    [
+        StructField("accident_id", STRING),
+        StructField("timestamp", TIME),
+        StructField("latitude", DOUBLE),
+        StructField("longitude", DOUBLE),
+        StructField("severity", INT),
+        StructField("distance_mi", DOUBLE),
+        StructField("temperature_f", DOUBLE),
+        StructField("wind_chill_f", DOUBLE),
+        StructField("humidity", DOUBLE),
+        StructField("pressure_in", DOUBLE),
+        StructField("visibility_mi", DOUBLE),
+        StructField("wind_speed_mph", DOUBLE),
+        StructField("precipitation_in", DOUBLE),
+        StructField("weather_condition", STRING),
+        StructField("wind_direction", STRING),
+        StructField("amenity", BOOLEAN),
+        StructField("bump", BOOLEAN),
+        StructField("crossing", BOOLEAN),
+        StructField("give_way", BOOLEAN),
+        StructField("junction", BOOLEAN),
+        StructField("no_exit", BOOLEAN),
+        StructField("railway", BOOLEAN),
+        StructField("roundabout", BOOLEAN),
+        StructField("station", BOOLEAN),
+        StructField("stop", BOOLEAN),
+        StructField("traffic_calming", BOOLEAN),
+        StructField("traffic_signal", BOOLEAN),
+        StructField("turning_loop", BOOLEAN),
+        StructField("sunrise_sunset", STRING),
+        StructField("civil_twilight", STRING),
+        StructField("nautical_twilight", STRING),
+        StructField("astronomical_twilight", STRING),
+        StructField("street", STRING),
+        StructField("city", STRING),
+        StructField("county", STRING),
+        StructField("state", STRING),
+        StructField("zipcode", STRING),
+        StructField("country", STRING),
+        StructField("timezone", STRING),
+        StructField("airport_code", STRING),
+        StructField("weather_timestamp", TIME),
+        StructField("location", POINT),
+    ]
+)
+
+# The calendar.
+CALENDAR = StructType(
+    [
+        StructField("date", DATE),
+        StructField("year", INT),
+        StructField("month", INT),
+        StructField("day", INT),
+        StructField("day_of_week", INT),
+        StructField("day_name", STRING),
+        StructField("is_weekend", BOOLEAN),
+        StructField("is_holiday", BOOLEAN),
+        StructField("holiday_name", STRING),
+        StructField("quarter", INT),
+        StructField("week_of_year", INT),
+    ]
+)
+
+# The feature table.
+FEATURES = StructType(
+    [
+        StructField("feature_date", DATE),
+        StructField("location_id", STRING),
+        StructField("latitude", DOUBLE),
+        StructField("longitude", DOUBLE),
+        StructField("hour", INT),
+        StructField("day_of_week", INT),
+        StructField("month", INT),
+        StructField("is_weekend", BOOLEAN),
+        StructField("is_holiday", BOOLEAN),
+        StructField("is_rush_hour", BOOLEAN),
+        StructField("temperature_f", DOUBLE),
+        StructField("visibility_mi", DOUBLE),
+        StructField("precipitation_in", DOUBLE),
+        StructField("wind_speed_mph", DOUBLE),
+        StructField("humidity", DOUBLE),
+        StructField("pressure_in", DOUBLE),
+        StructField("weather_condition", STRING),
+        StructField("is_severe_weather", BOOLEAN),
+        StructField("accident_freq_historical", INT),
+        StructField("rolling_7day_accidents", INT),
+        StructField("rolling_30day_accidents", INT),
+        StructField("cluster_id", INT),
+        StructField("road_type", STRING),
+        StructField("accidents_last_24h", INT),
+        StructField("accidents_last_7days", INT),
+        StructField("moving_avg_3day", DOUBLE),
+        StructField("moving_avg_7day", DOUBLE),
+        StructField("moving_avg_30day", DOUBLE),
+        StructField("accident_occurred_next_24h", INT),
+    ]
 )
 
-PREDICTIONS = _struct(
-    [("prediction_date", "date"), ("prediction_hour", "int"), ("location_id", "string")]
-    + _table(double="latitude longitude risk_score", string="risk_category model_version features")
+# The predictions.
+PREDICTIONS = StructType(
+    [
+        StructField("prediction_date", DATE),
+        StructField("prediction_hour", INT),
+        StructField("location_id", STRING),
+        StructField("latitude", DOUBLE),
+        StructField("longitude", DOUBLE),
+        StructField("risk_score", DOUBLE),
+        StructField("risk_category", STRING),
+        StructField("model_version", STRING),
+        StructField("features", STRING),
+    ]
 )
 
-MODEL_METADATA = _struct(
-    _table(string="model_name model_version model_type", timestamp="training_date")
-    + _table(
-        double="auc_score precision_score recall_score f1_score accuracy_score",
-        int="train_samples val_samples test_samples",
-        strings="features_used",
-    )
-    + _table(string="hyperparameters model_path", boolean="is_production", timestamp="deployed_at")
+# The models. mlflow_run_id stays null: there is no such server here.
+MODEL_METADATA = StructType(
+    [
+        StructField("model_name", STRING),
+        StructField("model_version", STRING),
+        StructField("model_type", STRING),
+        StructField("training_date", TIME),
+        StructField("auc_score", DOUBLE),
+        StructField("precision_score", DOUBLE),
+        StructField("recall_score", DOUBLE),
+        StructField("f1_score", DOUBLE),
+        StructField("accuracy_score", DOUBLE),
+        StructField("train_samples", INT),
+        StructField("val_samples", INT),
+        StructField("test_samples", INT),
+        StructField("features_used", STRINGS),
+        StructField("hyperparameters", STRING),
+        StructField("model_path", STRING),
+        StructField("mlflow_run_id", STRING),
+        StructField("is_production", BOOLEAN),
+        StructField("deployed_at", TIME),
+    ]
 )
 
-MONITORING_METRICS = _struct(
-    _table(date="metric_date", string="model_version")
-    + _table(
-        double="auc_score precision_score recall_score f1_score",
-        int="total_predictions high_risk_predictions medium_risk_predictions low_risk_predictions "
-        "true_positives false_positives true_negatives false_negatives",
-    )
+# Daily quality.
+MONITORING_METRICS = StructType(
+    [
+        StructField("metric_date", DATE),
+        StructField("model_version", STRING),
+        StructField("auc_score", DOUBLE),
+        StructField("precision_score", DOUBLE),
+        StructField("recall_score", DOUBLE),
+        StructField("f1_score", DOUBLE),
+        StructField("total_predictions", INT),
+        StructField("high_risk_predictions", INT),
+        StructField("medium_risk_predictions", INT),
+        StructField("low_risk_predictions", INT),
+        StructField("true_positives", INT),
+        StructField("false_positives", INT),
+        StructField("true_negatives", INT),
+        StructField("false_negatives", INT),
+    ]
 )
 
-LOCATION_CLUSTERS = _struct(
-    _table(int="cluster_id", double="centroid_latitude centroid_longitude")
-    + _table(int="accident_count", double="avg_severity")
+# The clusters.
+LOCATION_CLUSTERS = StructType(
+    [
+        StructField("cluster_id", INT),
+        StructField("centroid_latitude", DOUBLE),
+        StructField("centroid_longitude", DOUBLE),
+        StructField("accident_count", INT),
+        StructField("avg_severity", DOUBLE),
+    ]
 )
 
 # The unique key of each table.
