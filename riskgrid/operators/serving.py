@@ -10,13 +10,21 @@ from pyspark.sql import functions as F
 from riskgrid.functions.risk import HIGH_RISK
 from riskgrid.operators.scoring import TOP_ZONES
 
-# Default and largest number of rows per answer.
-ROW_LIMIT, MAX_ROWS = 1000, 10_000
+# Largest numbers of rows that an answer may be limited to.
+MAX_ROWS = 10_000
 MAX_ZONES = 100
 
-COLUMNS = (
-    "prediction_date prediction_hour location_id latitude longitude risk_score risk_category model_version"
-).split()
+# Columns of an answer.
+COLUMNS = [
+    "prediction_date",
+    "prediction_hour",
+    "location_id",
+    "latitude",
+    "longitude",
+    "risk_score",
+    "risk_category",
+    "model_version",
+]
 
 
 def _date(text: str):
@@ -34,12 +42,13 @@ def _rows(predictions: DataFrame) -> DataFrame:
     return predictions.select(F.col("prediction_date").cast("string").alias("prediction_date"), *COLUMNS[1:])
 
 
-def predictions_by_date(predictions: DataFrame, date: str, limit: int = ROW_LIMIT) -> DataFrame:
-    """Rows of one day, highest risk first. For today's rows pass today's date."""
-    _within("limit", limit, 1, MAX_ROWS)
+def predictions_by_date(predictions: DataFrame, date: str, limit: int | None = None) -> DataFrame:
+    """Rows of one day, highest risk first: all of them, or ``limit``. For today's rows pass today's date."""
+    if limit is not None:
+        _within("limit", limit, 1, MAX_ROWS)
     day = predictions.where(F.col("prediction_date") == _date(date))
     ordered = day.orderBy(F.desc("risk_score"), "location_id", "prediction_hour")
-    return _rows(ordered.limit(limit))
+    return _rows(ordered if limit is None else ordered.limit(limit))
 
 
 def predictions_by_location(predictions: DataFrame, location_id: str, date: str | None = None) -> DataFrame:
@@ -50,25 +59,30 @@ def predictions_by_location(predictions: DataFrame, location_id: str, date: str
     return _rows(rows).orderBy(F.desc("prediction_date"), "prediction_hour")
 
 
+def _risky(predictions: DataFrame, date: str, min_risk_score: float) -> DataFrame:
+    _within("min_risk_score", min_risk_score, 0.0, 1.0)
+    return predictions.where((F.col("prediction_date") == _date(date)) & (F.col("risk_score") >= min_risk_score))
+
+
 def high_risk_zones(
     predictions: DataFrame, date: str, top_n: int = TOP_ZONES, min_risk_score: float = HIGH_RISK
 ) -> DataFrame:
     """The ``top_n`` rows of one day at or above a score."""
     _within("top_n", top_n, 1, MAX_ZONES)
-    _within("min_risk_score", min_risk_score, 0.0, 1.0)
-    day = predictions.where((F.col("prediction_date") == _date(date)) & (F.col("risk_score") >= min_risk_score))
-    ordered = day.orderBy(F.desc("risk_score"), "location_id", "prediction_hour")
+    ordered = _risky(predictions, date, min_risk_score).orderBy(F.desc("risk_score"), "location_id", "prediction_hour")
     return _rows(ordered.limit(top_n)).drop("model_version")
 
 
 def high_risk_report(
     predictions: DataFrame, date: str, top_n: int = TOP_ZONES, min_risk_score: float = HIGH_RISK
 ) -> DataFrame:
-    """The same zones as one row: date, number of zones, nested list (at most 100) in rank order."""
+    """The same zones as one row: date, number of all rows at or above the score, nested list of the
+    ``top_n`` (at most 100) in rank order."""
     zones = high_risk_zones(predictions, date, top_n, min_risk_score)
     rank = (-F.col("risk_score")).alias("rank")
     ranked = F.struct(rank, "location_id", "prediction_hour", F.struct(*zones.columns).alias("zone"))
-    return zones.agg(F.count(F.lit(1)).alias("total_zones"), F.array_sort(F.collect_list(ranked)).alias("_zones")).select(
+    total = _risky(predictions, date, min_risk_score).agg(F.count(F.lit(1))).scalar()
+    return zones.agg(F.array_sort(F.collect_list(ranked)).alias("_zones")).withColumn("total_zones", total).select(
         F.lit(date).alias("prediction_date"), "total_zones", F.col("_zones.zone").alias("zones")
     )
 

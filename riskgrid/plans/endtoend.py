@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskgrid import schemas
+from riskgrid.functions.risk import HIGH_RISK, MEDIUM_RISK
 from riskgrid.operators.calendar import DEFAULT_START, build_calendar, date_bounds
 from riskgrid.operators.cleaning import clean, to_table_columns
+from riskgrid.operators.sampling import NEGATIVE_CAP, POSITIVE_CAP
 from riskgrid.operators.training import DEFAULT_MODELS, ModelSpec
 from riskgrid.plans.features import build_features
 from riskgrid.plans.score import score_day
@@ -45,6 +49,12 @@ class Project:
     write_policy: str = "append"
     output_format: str = "csv"
     feature_options: dict[str, Any] = field(default_factory=dict)
+    # Bounds on the labelled rows that models are fitted on.
+    positives: int = POSITIVE_CAP
+    negatives: int = NEGATIVE_CAP
+    # Limits of the risk categories.
+    medium_risk: float = MEDIUM_RISK
+    high_risk: float = HIGH_RISK
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -57,16 +67,23 @@ def ingest(spark: SparkSession, project: Project) -> None:
         insert_ignore(events, project.path("accidents"))
     else:
         write_table(first_by_key(events), project.path("accidents"), project.write_policy)
-    last = project.calendar_end or project.prediction_date
-    truncate_and_load(
-        build_calendar(date_bounds(spark, project.calendar_start, last)), project.path("calendar")
-    )
+    stored = parquet_table(spark, project.path("accidents"), schemas.ACCIDENTS)
+    seen = stored.agg(F.to_date(F.min("timestamp")), F.to_date(F.max("timestamp"))).first()
+    asked = [dt.date.fromisoformat(d) for d in (project.calendar_start, project.calendar_end or project.prediction_date)]
+    # The calendar covers every event, whatever was asked for: a day without it would have null features.
+    first, last = min([asked[0], *seen[:1]] if seen[0] else asked[:1]), max([asked[1], *seen[1:]] if seen[1] else asked[1:])
+    days = build_calendar(date_bounds(spark, first.isoformat(), last.isoformat()))
+    truncate_and_load(days, project.path("calendar"))
 
 
 def build(spark: SparkSession, project: Project) -> None:
     # The full schema: columns the raw files lack are read as null.
     accidents = parquet_table(spark, project.path("accidents"), schemas.ACCIDENTS)
     calendar = parquet_table(spark, project.path("calendar"))
+    days = calendar.agg(F.min("date"), F.max("date")).first()
+    seen = accidents.agg(F.to_date(F.min("timestamp")), F.to_date(F.max("timestamp"))).first()
+    if seen[0] and not (days[0] and days[0] <= seen[0] and seen[1] <= days[1]):
+        raise ValueError(f"the calendar covers {days[0]} to {days[1]}, the events {seen[0]} to {seen[1]}")
     features = build_features(accidents, calendar, **project.feature_options)
     write_features(features, project.path("features_daily"))
 
@@ -76,7 +93,7 @@ def train(spark: SparkSession, project: Project) -> DataFrame:
     features = parquet_table(spark, project.path("features_daily"))
     _, report = train_models(
         features, project.version, project.run_time, project.specs,
-        project.path("models"), project.path("model_metadata"),
+        project.path("models"), project.path("model_metadata"), project.positives, project.negatives,
     )
     return report
 
@@ -88,6 +105,7 @@ def predict(spark: SparkSession, project: Project) -> DataFrame:
     return score_day(
         features, trained, project.prediction_date, project.path("predictions"),
         project.path("prediction_files"), project.output_format,
+        medium_risk=project.medium_risk, high_risk=project.high_risk,
     )
 
 

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from riskgrid import schemas
 from riskgrid.functions.geo import point
 
-# Answer to "the target already has rows" -> write mode.
-WRITE_POLICIES = {"append": "append", "replace": "overwrite", "cancel": "ignore", "fail": "errorifexists"}
+# Answers to "the target already has rows".
+WRITE_POLICIES = ["append", "replace", "cancel", "fail"]
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
@@ -55,10 +55,18 @@ def insert_ignore(incoming: DataFrame, path: str, key: str = "accident_id", orde
 
 
 def write_table(df: DataFrame, path: str, policy: str = "append", partition_by: Sequence[str] = ()) -> None:
-    """Write under a policy for a target that already has rows: append, replace, cancel or fail."""
+    """Write under a policy for a target that already has rows: append, replace, cancel or fail.
+
+    A missing or empty target is written under any policy.
+    """
     if policy not in WRITE_POLICIES:
         raise ValueError(f"policy must be one of {sorted(WRITE_POLICIES)}, not {policy!r}")
-    writer = _by_partition(df, partition_by).write.mode(WRITE_POLICIES[policy])
+    existing = read_if_exists(df.sparkSession, path) if policy in ("cancel", "fail") else None
+    if existing is not None and not existing.isEmpty():
+        if policy == "fail":
+            raise FileExistsError(f"{path} already has rows")
+        return
+    writer = _by_partition(df, partition_by).write.mode("overwrite" if policy == "replace" else "append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
@@ -69,6 +77,8 @@ def truncate(spark: SparkSession, path: str) -> None:
 
 
 def truncate_and_load(df: DataFrame, path: str) -> None:
+    """Replace a table. Like every overwrite of a folder this first removes the old rows: if the job
+    fails, load again from the source. Readers that need the old rows meanwhile keep a copy."""
     df.write.mode("overwrite").parquet(path)
 
 
@@ -118,14 +128,14 @@ def write_prediction_files(predictions: DataFrame, path: str, output_format: str
 def metadata_row(
     spark: SparkSession, model_name: str, version: str, trained_at: str, metrics: Mapping[str, float],
     features: Sequence[str], samples: Mapping[str, int] | None = None,
-    hyperparameters: Mapping[str, Any] | None = None, model_path: str | None = None,
+    hyperparameters: Mapping[str, Any] | None = None, model_path: str | None = None, model_type: str | None = None,
 ) -> DataFrame:
     """One row of model metadata; absent metrics are 0. The run time is passed in."""
     samples = samples or {}
     values = {
         "model_name": model_name,
         "model_version": version,
-        "model_type": model_name,
+        "model_type": model_type or model_name,
         **{f"{m}_score": float(metrics.get(m) or 0.0) for m in ("auc", "precision", "recall", "f1", "accuracy")},
         **{f"{split}_samples": samples.get(split) for split in ("train", "val", "test")},
         "features_used": list(features),
@@ -140,4 +150,8 @@ def metadata_row(
 
 
 def append_metadata(row: DataFrame, path: str) -> None:
-    row.write.mode("append").parquet(path)
+    """Add rows whose (model_name, model_version) is not in the table yet; others are left out."""
+    existing = read_if_exists(row.sparkSession, path)
+    key = schemas.TABLE_KEYS["model_metadata"]
+    new = row if existing is None else row.join(existing.select(*key), key, "left_anti").select(*row.columns)
+    new.write.mode("append").parquet(path)

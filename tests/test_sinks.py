@@ -50,8 +50,12 @@ def test_write_policies(spark, scratch):
     assert content(spark, scratch) == [("a", 1), ("b", 2)]
     sinks.write_table(new, scratch, "replace")
     assert content(spark, scratch) == [("b", 2)]
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(FileExistsError):
         sinks.write_table(new, scratch, "fail")
+    for policy in ("cancel", "fail"):
+        sinks.truncate(spark, scratch)
+        sinks.write_table(old, scratch, policy)
+        assert content(spark, scratch) == [("a", 1)]
     with pytest.raises(ValueError):
         sinks.write_table(new, scratch, "ask")
 
@@ -131,6 +135,8 @@ def test_metadata_round_trip(spark, scratch):
         spark, "m", "v1", "2024-01-01 10:00:00", {"auc": 0.5}, ["a", "b"], {"train": 7}, {"depth": 3}, "/p"
     )
     sinks.append_metadata(row, scratch)
+    sinks.append_metadata(row, scratch)
+    assert scans.key_violations(scans.parquet_table(spark, scratch), schemas.TABLE_KEYS["model_metadata"]).isEmpty()
     newer = sinks.metadata_row(spark, "m", "v2", "2024-01-02 10:00:00", {}, ["a"])
     sinks.append_metadata(newer, scratch)
     stored = scans.parquet_table(spark, scratch)
