@@ -22,8 +22,8 @@ def cut_by_hash(
 ) -> DataFrame:
     """Number of ``cuts`` a row lies behind when its group is put in hash order.
 
-    ``cuts`` are row counts within the group, ascending, written over column ``group_rows`` (rows in
-    the row's group) and ``smallest_group`` (rows in the smallest group). Row number ``r`` (from 1)
+    ``cuts`` are row counts within the group, ascending, written over columns ``_group`` (the group's
+    value), ``group_rows`` (rows in the row's group) and ``smallest_group`` (rows in the smallest group). Row number ``r`` (from 1)
     gets ``count(cut < r)``, exactly as a ``row_number`` over the whole group would decide.
 
     Only buckets that a cut passes through are ranked, about 1/65,536 of a group each; every other

@@ -32,8 +32,10 @@ def training_sample(
     negatives: int = NEGATIVE_CAP,
     key: Sequence[str] = FEATURE_KEY,
 ) -> DataFrame:
-    """Capped positives and capped negatives together."""
-    return class_sample(df, label, 1, positives, key).unionByName(class_sample(df, label, 0, negatives, key))
+    """Capped positives and capped negatives, cut in one pass. Rows of other labels are left out."""
+    cap = F.when(F.col("_group") == 1, F.lit(positives)).otherwise(F.lit(negatives))
+    rows = df.where(F.col(label).isin(0, 1))
+    return cut_by_hash(rows, label, key, [cap]).where("segment = 0").drop("segment")
 
 
 def shuffled(df: DataFrame, key: Sequence[str] = FEATURE_KEY) -> DataFrame:
@@ -73,10 +75,10 @@ def undersample(df: DataFrame, label: str = TARGET, key: Sequence[str] = FEATURE
 
 
 def balanced_weight(df: DataFrame, label: str = TARGET) -> Column:
-    """Weight n / (2 x rows of the class), so that both classes weigh the same."""
-    totals = df.agg(F.struct(F.count(F.lit(1)).alias("rows"), F.sum(label).alias("positives"))).scalar()
+    """Weight n / (2 x rows of the class), so that both classes weigh the same; null for a null label."""
+    totals = df.agg(F.struct(F.count(label).alias("rows"), F.sum(label).alias("positives"))).scalar()
     positive = F.col(label) == 1
-    of_class = F.when(positive, totals["positives"]).otherwise(totals["rows"] - totals["positives"])
+    of_class = F.when(positive, totals["positives"]).when(~positive, totals["rows"] - totals["positives"])
     return totals["rows"] / (F.lit(2.0) * of_class)
 
 

@@ -307,7 +307,9 @@ _TEXTS: dict[str, str] = {
         from accidents
         union all select 'replace', count(*), cast(sum(severity) as bigint) from accidents
         union all select 'cancel', count(*), cast(sum(severity) as bigint) from accidents
-        where weather_condition = 'Clear'""",
+        where weather_condition = 'Clear'
+        union all select 'cancel, empty', count(*), cast(sum(severity) as bigint) from accidents
+        union all select 'fail, empty', count(*), cast(sum(severity) as bigint) from accidents""",
     "q09_key_violations": """
         select 'accidents' as table_name, accident_id as key, count(*) as rows
         from accidents group by accident_id having count(*) > 1
@@ -374,7 +376,7 @@ _TEXTS: dict[str, str] = {
     "q33_distinct_locations": "select lat_e4, lon_e4, latitude, longitude from places",
     "q34_location_sample": """
         select lat_e4, lon_e4 from places
-        order by md5(concat_ws('|', cast(lat_e4 as varchar), cast(lon_e4 as varchar))), lat_e4, lon_e4 limit 1000""",
+        order by md5(concat_ws('|', cast(lat_e4 as varchar), cast(lon_e4 as varchar))), lat_e4, lon_e4 limit 10""",
     "q34_listed_locations": """
         select l.lat_e4, l.lon_e4, l.lat_e4 / 10000e0 as latitude, l.lon_e4 / 10000e0 as longitude,
                coalesce(freq, 0) as accident_freq_historical
@@ -397,9 +399,9 @@ _TEXTS: dict[str, str] = {
     "q44_weather_join": f"select {_KEY}, {_WEATHER}, weather_condition from grid_weather",
     "q45_median_imputation": f"select {_KEY}, {_WEATHER} from grid_imputed",
     "q45_global_medians": """
-        select round(quantile_cont(temperature_f, 0.5e0), 6) as temperature_f,
-               round(quantile_cont(humidity, 0.5e0), 6) as humidity,
-               round(quantile_cont(wind_speed_mph, 0.5e0), 6) as wind_speed_mph
+        select round(median(temperature_f), 6) as temperature_f, round(median(visibility_mi), 6) as visibility_mi,
+               round(median(precipitation_in), 6) as precipitation_in, round(median(wind_speed_mph), 6) as wind_speed_mph,
+               round(median(humidity), 6) as humidity, round(median(pressure_in), 6) as pressure_in
         from accidents""",
     "q46_severe_weather": """
         select accident_id, weather_condition,
@@ -526,7 +528,7 @@ _TEXTS: dict[str, str] = {
         order by p.risk_score desc, location_id, prediction_date, prediction_hour limit 10""",
     "q82_predictions_by_date": f"""
         select {_SERVED}, model_version from predictions p where p.prediction_date = {_DAY}
-        order by p.risk_score desc, location_id, prediction_hour limit 1000""",
+        order by p.risk_score desc, location_id, prediction_hour""",
     "q83_predictions_by_location": f"""
         select {_SERVED}, model_version from predictions p where location_id = '25.5_-119.75'""",
     "q83_predictions_by_location_and_date": f"""
@@ -536,7 +538,8 @@ _TEXTS: dict[str, str] = {
         select {_SERVED} from predictions p where p.prediction_date = {_DAY} and p.risk_score >= 0.5e0
         order by p.risk_score desc, location_id, prediction_hour limit 20""",
     "q84_high_risk_report": f"""
-        select '2024-01-15' as prediction_date, count(*) over () as total_zones,
+        select '2024-01-15' as prediction_date,
+               (select count(*) from predictions where prediction_date = {_DAY} and risk_score >= 0.5e0) as total_zones,
                cast(row_number() over (order by risk_score desc, location_id, prediction_hour) - 1 as integer) as position,
                location_id, prediction_hour
         from (select * from predictions where prediction_date = {_DAY} and risk_score >= 0.5e0
@@ -585,4 +588,41 @@ _TEXTS: dict[str, str] = {
         where auc >= 0.4e0 and recall >= 0.4e0 and precision >= 0.6e0""",
 }
 
+_FITTED = f"""
+    select split, cast(sum(case split when 'train' then a when 'val' then b - a else n - b end) as bigint) as rows,
+           0::bigint as bad_scores, true as auc_above_half
+    from (select floor(n * 0.70e0) as a, floor(n * 0.85e0) as b, n
+          from (select least(count(*), case when {_LABEL} = 1 then 2000 else 8000 end) as n
+                from features group by {_LABEL})),
+         (select unnest(['train', 'val', 'test']) as split)
+    group by split"""
+_FACTS = "0::bigint as wrong_category, 0::bigint as bad_scores, 0::bigint as repeated"
+
+# Queries on fitted models return what must hold for any fit.
+_TEXTS |= {
+    "q37_kmeans_clusters": """
+        select count(*) as rows, count(*) as places, 0::bigint as out_of_range, true as several_clusters from places""",
+    "q65_logistic_regression": _FITTED,
+    "q66_random_forest": _FITTED,
+    "q67_boosted_trees_weighted": _FITTED,
+    "q68_boosted_trees_balanced": _FITTED,
+    "q70_feature_importance": """
+        select cast(21 + count(distinct road_type) as bigint) as features, 0::bigint as bad_values, 1e0 as total
+        from features""",
+    "q71_train_and_compare": """
+        select unnest(['train', 'val', 'test']) as split, 4::bigint as models, 0::bigint as better_than_best,
+               4::bigint as valid_auc""",
+    "q75_score_rows": f"""
+        select feature_date as prediction_date, count(*) as rows, {_FACTS} from features group by feature_date""",
+    "q81_daily_scoring": f"""
+        select feature_date as prediction_date, count(*) as rows, {_FACTS}, true as few_zones
+        from features where feature_date = {_DAY} group by feature_date""",
+    "q86_end_to_end_run": f"""
+        select {_DAY} as prediction_date, count(distinct (latitude, longitude)) * 24 as rows, {_FACTS},
+               count(*) as events, date_diff('day', min("timestamp")::date, max("timestamp")::date) + 1 as grid_days,
+               0::bigint as null_calendar_rows, 1::bigint as models
+        from cleaned""",
+    "q92_cross_validation": "select unnest([0e0, 0.1e0]) as reg_param, true as auc_above_half",
+}
+
 ORACLES: dict[str, str] = {name: oracle(text) for name, text in _TEXTS.items()}

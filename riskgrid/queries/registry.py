@@ -16,7 +16,7 @@ from riskgrid.operators import calendar as cal
 from riskgrid.operators import cleaning, encoding, grid, locations, metrics, sampling, scoring, serving, training
 from riskgrid.operators import weather as wx
 from riskgrid.operators import windows as win
-from riskgrid.operators.quantiles import exact_medians
+from riskgrid.operators.quantiles import exact_medians, exact_modes
 from riskgrid.plans import endtoend
 from riskgrid.plans.features import build_features
 from riskgrid.plans.score import predictions_of, score_day
@@ -32,10 +32,12 @@ TARGET = schemas.TARGET
 ROW_KEY = ["feature_date", "location_id", "hour"]
 DAY = "2024-01-15"
 RUN_TIME = "2024-02-01 00:00:00"
-# Small models keep a check short; the library's defaults are the full ones.
+# Labelled rows that the model queries fit on at most, of each class.
+POSITIVES, NEGATIVES = 2_000, 8_000
+# For queries that need several models or any model: the default linear model and forest, and boosted
+# trees of 3 rounds. The default boosted trees (200 rounds) are fitted by q67 and q68.
 QUICK = [
-    training.ModelSpec("logistic_regression", "logistic", {"C": 1.0, "maxIter": 25}),
-    training.ModelSpec("random_forest", "forest", {"numTrees": 5, "maxDepth": 4, "minInstancesPerNode": 5}),
+    *training.DEFAULT_MODELS[:2],
     training.ModelSpec("xgboost", "boosted", {"maxIter": 3, "maxDepth": 4, "stepSize": 0.1}, positive_weight=5.0),
     training.ModelSpec("lightgbm", "boosted", {"maxIter": 3, "maxDepth": 3, "stepSize": 0.1}),
 ]
@@ -177,7 +179,16 @@ def q08_write_policy(spark, sf_dir):
             F.lit(policy).alias("policy"), F.count(F.lit(1)).alias("rows"), F.sum("severity").alias("severity")
         )
 
-    return reduce(DataFrame.unionByName, [outcome(p) for p in ("append", "replace", "cancel")])
+    def into_empty(policy: str) -> DataFrame:
+        path = scratch_path(spark, f"empty-{policy}")
+        sinks.write_table(accidents.limit(0), path)
+        sinks.write_table(accidents, path, policy)
+        return scans.parquet_table(spark, path).agg(
+            F.lit(f"{policy}, empty").alias("policy"), F.count(F.lit(1)).alias("rows"), F.sum("severity").alias("severity")
+        )
+
+    found = [outcome(p) for p in ("append", "replace", "cancel")] + [into_empty(p) for p in ("cancel", "fail")]
+    return reduce(DataFrame.unionByName, found)
 
 
 @query
@@ -398,7 +409,7 @@ def q33_distinct_locations(spark, sf_dir):
 
 @query
 def q34_location_sample(spark, sf_dir):
-    return locations.sample_locations(locations.distinct_locations(views.accidents(spark, sf_dir)))
+    return locations.sample_locations(locations.distinct_locations(views.accidents(spark, sf_dir)), 10)
 
 
 @query
@@ -420,7 +431,15 @@ def q36_grid_range(spark, sf_dir):
 
 @query
 def q37_kmeans_clusters(spark, sf_dir):
-    return locations.kmeans_clusters(views.accidents(spark, sf_dir), restarts=2)
+    """What must hold for any clustering: every place has one cluster, and ids are in range."""
+    accidents = views.accidents(spark, sf_dir)
+    found = locations.kmeans_clusters(accidents)
+    return found.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct(*KEY).alias("places"),
+        F.count_if(~F.col("cluster_id").between(0, locations.CLUSTERS - 1)).alias("out_of_range"),
+        (F.count_distinct("cluster_id") > 1).alias("several_clusters"),
+    )
 
 
 @query
@@ -461,9 +480,12 @@ def q42_weather_medians(spark, sf_dir):
 
 @query
 def q42_weather_medians_split(spark, sf_dir):
-    """The same medians with every place-hour of two or more events taken as hot."""
-    accidents = views.accidents(spark, sf_dir)
-    weather = wx.weather_by_hour(accidents, wx.hot_place_hours(accidents, 1))
+    """The same medians by brackets and slices, the route of the global medians."""
+    events = wx.with_place_hour(views.accidents(spark, sf_dir))
+    medians = exact_medians(events, wx.PLACE_HOUR, schemas.WEATHER_COLUMNS)
+    modes = exact_modes(events, wx.PLACE_HOUR, "weather_condition")
+    counts = events.groupBy(*wx.PLACE_HOUR).agg(F.count(F.lit(1)).alias("event_count"))
+    weather = counts.join(medians, wx.PLACE_HOUR, "left").join(modes, wx.PLACE_HOUR, "left")
     return rounded(weather, *schemas.WEATHER_COLUMNS)
 
 
@@ -488,7 +510,7 @@ def q45_median_imputation(spark, sf_dir):
 
 @query
 def q45_global_medians(spark, sf_dir):
-    columns = ["temperature_f", "humidity", "wind_speed_mph"]
+    columns = schemas.WEATHER_COLUMNS
     return rounded(exact_medians(views.accidents(spark, sf_dir), [], columns), *columns)
 
 
@@ -655,34 +677,40 @@ def q64_class_weights(spark, sf_dir):
 
 
 def _train_one(spark, sf_dir, spec):
-    data = training_set(feature_table(spark, sf_dir))
+    data = training_set(feature_table(spark, sf_dir), POSITIVES, NEGATIVES)
     fitted = training.fit(data.vectors.where("split = 'train'"), spec, rows=data.rows["train"])
     return data, fitted
 
 
 def _report(spark, sf_dir, spec):
+    """What must hold for any fit: rows of each split, no score outside [0, 1], and better ranks than chance."""
     data, fitted = _train_one(spark, sf_dir, spec)
-    return training.evaluate(fitted, data.vectors)
+    scored = stage(training.with_probability(fitted, data.vectors).select("split", TARGET, "p"), "scored-rows")
+    counts = scored.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("p").between(0.0, 1.0) | F.isnan("p")).alias("bad_scores")
+    )
+    ranked = metrics.binary_metrics(scored, TARGET, "p", ["split"])
+    return counts.join(ranked.select("split", (F.col("auc") > 0.5).alias("auc_above_half")), "split")
 
 
 @query
 def q65_logistic_regression(spark, sf_dir):
-    return _report(spark, sf_dir, QUICK[0])
+    return _report(spark, sf_dir, training.DEFAULT_MODELS[0])
 
 
 @query
 def q66_random_forest(spark, sf_dir):
-    return _report(spark, sf_dir, QUICK[1])
+    return _report(spark, sf_dir, training.DEFAULT_MODELS[1])
 
 
 @query
 def q67_boosted_trees_weighted(spark, sf_dir):
-    return _report(spark, sf_dir, QUICK[2])
+    return _report(spark, sf_dir, training.DEFAULT_MODELS[2])
 
 
 @query
 def q68_boosted_trees_balanced(spark, sf_dir):
-    return _report(spark, sf_dir, QUICK[3])
+    return _report(spark, sf_dir, training.DEFAULT_MODELS[3])
 
 
 @query
@@ -703,7 +731,12 @@ def q69_binary_metrics_by_group(spark, sf_dir):
 @query
 def q70_feature_importance(spark, sf_dir):
     data, fitted = _train_one(spark, sf_dir, QUICK[1])
-    return training.feature_importance(fitted, data.names)
+    found = training.feature_importance(fitted, data.names)
+    return found.agg(
+        F.count(F.lit(1)).alias("features"),
+        F.count_if((F.col("importance") < 0) | F.isnan("importance")).alias("bad_values"),
+        F.round(F.sum("importance"), 6).alias("total"),
+    )
 
 
 @query
@@ -714,8 +747,15 @@ def q71_best_model(spark, sf_dir):
 
 @query
 def q71_train_and_compare(spark, sf_dir):
-    _, report = train_models(feature_table(spark, sf_dir), "v1", RUN_TIME, QUICK[:2])
-    return best_by_test_auc(report)
+    _, report = train_models(
+        feature_table(spark, sf_dir), "v1", RUN_TIME, QUICK, positives=POSITIVES, negatives=NEGATIVES
+    )
+    best = best_by_test_auc(report).select(F.col("auc").alias("best")).scalar()
+    return report.groupBy("split").agg(
+        F.count(F.lit(1)).alias("models"),
+        F.count_if((F.col("split") == "test") & (F.col("auc") > best)).alias("better_than_best"),
+        F.count_if(F.col("auc").between(0.0, 1.0)).alias("valid_auc"),
+    )
 
 
 @query
@@ -757,7 +797,18 @@ def q75_score_rows(spark, sf_dir):
     table = feature_table(spark, sf_dir)
     data, fitted = _train_one(spark, sf_dir, QUICK[0])
     trained = models.TrainedModel("logistic_regression", "v1", fitted, data.names, data.categories)
-    return predictions_of(table, trained)
+    return _prediction_facts(predictions_of(table, trained))
+
+
+def _prediction_facts(predictions):
+    """Rows per day, categories that disagree with their score, and repeated keys."""
+    expected = F.when(F.col("risk_score") >= 0.75, "High").when(F.col("risk_score") >= 0.5, "Medium").otherwise("Low")
+    return predictions.groupBy("prediction_date").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("risk_category") != expected).alias("wrong_category"),
+        F.count_if(~F.col("risk_score").between(0.0, 1.0)).alias("bad_scores"),
+        (F.count(F.lit(1)) - F.count_distinct("prediction_hour", "location_id")).alias("repeated"),
+    )
 
 
 def _unscored(spark, sf_dir):
@@ -807,7 +858,9 @@ def q81_daily_scoring(spark, sf_dir):
     data, fitted = _train_one(spark, sf_dir, QUICK[0])
     trained = models.TrainedModel("logistic_regression", "v1", fitted, data.names, data.categories)
     path, files = scratch_path(spark, "predictions"), scratch_path(spark, "prediction-files")
-    return score_day(table, trained, DAY, path, files)
+    zones = score_day(table, trained, DAY, path, files)
+    stored = scans.parquet_table(spark, path, schemas.PREDICTIONS)
+    return _prediction_facts(stored).withColumn("few_zones", zones.agg(F.count(F.lit(1)) <= 10).scalar())
 
 
 # --- serving -----------------------------------------------------------------------------------
@@ -854,10 +907,23 @@ def q86_end_to_end_run(spark, sf_dir):
     root = scratch_path(spark, "project")
     views.raw(spark, sf_dir).write.option("header", True).csv(f"{root}/raw")
     project = endtoend.Project(
-        root, f"{root}/raw", DAY, "v1", RUN_TIME, calendar_start="2024-01-01", calendar_end="2024-12-31",
-        model_name="logistic_regression", specs=QUICK[:1], feature_options={"cluster_method": "cells"},
+        root, f"{root}/raw", DAY, "v1", RUN_TIME, model_name="logistic_regression", specs=QUICK[:1],
+        positives=POSITIVES, negatives=NEGATIVES,
     )
-    return endtoend.run(spark, project)
+    endtoend.run(spark, project)
+    features = scans.parquet_table(spark, project.path("features_daily"), schemas.FEATURES)
+    stored = scans.parquet_table(spark, project.path("predictions"), schemas.PREDICTIONS)
+    calendar_null = F.col("day_of_week").isNull() | F.col("month").isNull() | F.col("is_holiday").isNull()
+    events = scans.parquet_table(spark, project.path("accidents"), schemas.ACCIDENTS)
+    models_kept = scans.parquet_table(spark, project.path("model_metadata"), schemas.MODEL_METADATA)
+    return _prediction_facts(stored).withColumns(
+        {
+            "events": events.agg(F.count(F.lit(1))).scalar(),
+            "grid_days": features.agg(F.count_distinct("feature_date")).scalar(),
+            "null_calendar_rows": features.agg(F.count_if(calendar_null)).scalar(),
+            "models": models_kept.agg(F.count(F.lit(1))).scalar(),
+        }
+    )
 
 
 @query
@@ -893,10 +959,11 @@ def q91_quality_gate(spark, sf_dir):
 
 @query
 def q92_cross_validation(spark, sf_dir):
-    data = training_set(feature_table(spark, sf_dir))
+    data = training_set(feature_table(spark, sf_dir), POSITIVES, NEGATIVES)
     train = data.vectors.where("split = 'train'")
     search = training.cross_validate(
         train, QUICK[0], {"regParam": [0.0, 0.1]}, folds=training.FOLDS, rows=data.rows["train"]
     )
     scores = [(float(m[next(iter(m))]), float(a)) for m, a in zip(search.getEstimatorParamMaps(), search.avgMetrics)]
-    return spark.createDataFrame(scores, "reg_param double, mean_auc double")
+    found = spark.createDataFrame(scores, "reg_param double, mean_auc double")
+    return found.select("reg_param", (F.col("mean_auc") > 0.5).alias("auc_above_half"))

@@ -46,8 +46,18 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unused path below the scratch folder."""
-    return f"{scratch_root(spark)}/riskgrid/{name}-{uuid.uuid4().hex}"
+    """A fresh, unused path below the application's scratch folder."""
+    return f"{_own_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/riskgrid/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete what this application has staged. Frames that read it can't be used afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -112,8 +112,9 @@ def test_vocabulary_is_sorted_and_bounded(spark):
     frame = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "road_type string")
     assert encoding.vocabulary(frame) == ["a", "b"]
     many = spark.range(1500).select(F.col("id").cast("string").alias("road_type"))
+    assert len(encoding.vocabulary(many)) == 1500
     with pytest.raises(ValueError):
-        encoding.vocabulary(many)
+        encoding.vocabulary(many, most=1000)
 
 
 def test_kmeans_assigns_every_place(spark):
@@ -141,3 +142,29 @@ def test_end_to_end_steps(spark, scratch):
     assert again.count() == zones.count()
     with pytest.raises(ValueError):
         endtoend.run(spark, project, "deploy")
+
+
+def test_calendar_covers_all_events_by_default(spark, scratch):
+    views.raw(spark, SMALL).write.option("header", True).csv(f"{scratch}/raw")
+    project = endtoend.Project(
+        scratch, f"{scratch}/raw", "2024-01-15", "v1", "2024-02-01", feature_options={"cluster_method": "cells"}
+    )
+    endtoend.run(spark, project, "ingestion")
+    endtoend.run(spark, project, "features")
+    features = scans.parquet_table(spark, project.path("features_daily"))
+    assert features.where("day_of_week is null or month is null or is_holiday is null").isEmpty()
+    assert not features.where("feature_date > '2024-01-15'").isEmpty()
+    calendar = scans.parquet_table(spark, project.path("calendar")).where("date < '2024-01-20'").collect()
+    spark.createDataFrame(calendar).write.mode("overwrite").parquet(project.path("calendar"))
+    with pytest.raises(ValueError, match="calendar"):
+        endtoend.run(spark, project, "features")
+
+
+def test_scratch_is_cleared(spark, scratch, monkeypatch):
+    from riskgrid import session
+
+    # A folder of its own: other tests still read what this application has staged.
+    monkeypatch.setattr(session, "_own_scratch", lambda _: scratch)
+    staged = session.stage(spark.range(3).toDF("id"), "to-clear")
+    assert staged.count() == 3 and session.clear_scratch(spark)
+    assert not session.clear_scratch(spark)

@@ -32,6 +32,12 @@ def test_split_is_exact_per_class(spark, positives, negatives):
         assert [split[i] for i in ordered] == want
 
 
+def test_unknown_labels_have_no_weight(spark):
+    frame = spark.createDataFrame([(1,), (1,), (0,), (None,)], "y int")
+    got = sampling.with_balanced_weight(frame, "y").collect()
+    assert [r.weight for r in got] == [0.75, 0.75, 1.5, None]
+
+
 @pytest.mark.parametrize("cap", [0, 1, 17, 5000, 10_000_000])
 def test_class_sample_is_the_first_in_hash_order(spark, cap):
     frame = labelled(spark, 5000, 50)
