@@ -1,4 +1,4 @@
-"""One query per operator, with production parameters, over its whole table. No operator here is plain SQL: no oracles."""
+"""One query per operator, with production parameters, over its whole table; SQL for the one that SQL can express."""
 
 from __future__ import annotations
 
@@ -73,4 +73,32 @@ QUERIES: dict[str, Query] = {
         op10_jaccard_classes,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_quality_rules": r"""
+        with texts as (select doc_id, coalesce(text, '') as t from documents),
+        split as (
+            select doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w,
+                   list_filter(string_split(t, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) as lines
+            from texts),
+        windows as (
+            select doc_id, i, array_to_string(w[i:i+4], ' ') as shingle
+            from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1))) as i from split)),
+        twice as (select doc_id, i from windows qualify count(*) over (partition by doc_id, shingle) > 1),
+        covered as (
+            select doc_id, count(distinct i + k) as n_repeat_words
+            from twice, (select unnest(range(5)) as k) group by doc_id),
+        measured as (
+            select doc_id, len(w) as n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) as word_chars,
+                   length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
+                   len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+                   coalesce(n_repeat_words, 0) as n_repeat_words,
+                   length(t) - length(replace(t, '!', '')) as bangs,
+                   len(list_filter(range(2, len(w) + 1), i -> w[i] = w[i-1])) as stutters
+            from split left join covered using (doc_id)),
+        judged as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from measured)
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               not base_failed and 10 * n_symbols <= n_words and not (n_dup_lines >= 4 and 10 * n_dup_lines > 3 * n_lines)
+               and word_chars between 3 * n_words and 10 * n_words and 10 * stutters <= 3 * n_words
+               and 2 * bangs <= n_words as kept
+        from judged""",
+}
