@@ -78,7 +78,7 @@ ORACLES: dict[str, str] = {
         with texts as (select doc_id, coalesce(text, '') as t from documents),
         split as (
             select doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w,
-                   list_filter(string_split(t, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) as lines
+                   list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as lines
             from texts),
         windows as (
             select doc_id, i, array_to_string(w[i:i+4], ' ') as shingle
@@ -93,7 +93,7 @@ ORACLES: dict[str, str] = {
                    len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines,
                    coalesce(n_repeat_words, 0) as n_repeat_words,
                    length(t) - length(replace(t, '!', '')) as bangs,
-                   len(list_filter(range(2, len(w) + 1), i -> w[i] = w[i-1])) as stutters
+                   len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i-1])) as stutters
             from split left join covered using (doc_id)),
         judged as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from measured)
         select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
