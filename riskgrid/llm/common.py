@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 import itertools
+import sys
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -14,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one slice of a batch holds (more only if a single text is longer).
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +45,15 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    trim()
+
+
+def trim() -> None:
+    """Give freed memory back to the system: Python workers live on between tasks, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
 
 
 def numbering() -> defaultdict:

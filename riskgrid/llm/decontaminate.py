@@ -22,7 +22,7 @@ EDIT_SHARE = 0.06
 SHORTEST = 40
 #: Bytes of benchmark text that are broadcast at once; a larger benchmark takes more passes over the documents.
 BLOCK_BYTES = 4 << 20
-_BITS = 24
+_BITS = 22
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -203,7 +203,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         shared = session.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches, limit=2 << 20):
+            for batch in slices(batches, limit=1 << 20):
                 ids = batch.column("doc_id").to_pylist()
                 rows = [(ids[d], *rest) for d, *rest in matches(batch.column("text").to_pylist(), shared.value)]
                 columns = list(zip(*rows)) if rows else [[]] * 5
@@ -223,7 +223,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         shared = session.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches, limit=2 << 20):
+            for batch in slices(batches, limit=1 << 20):
                 data = [(x or "").encode() for x in batch.column("text").to_pylist()]
                 clean = np.ones(len(data), bool)
                 for d, *_ in matches(data, shared.value):

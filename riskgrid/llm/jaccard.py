@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgrid.llm.common import mixed, slices, stable_sample, texts
+from riskgrid.llm.common import mixed, slices, stable_sample, texts, trim
 from riskgrid.llm.components import components
 from riskgrid.session import stage
 
@@ -37,8 +37,8 @@ LEAF, FAN = 32, 8
 #: Numbers of sets that may be broadcast (16 bytes each); beyond, the join is left to Spark.
 BROADCAST_SETS = 1_000_000
 #: Bytes of bitmaps or sets that one Python call gets.
-BUCKET_BYTES = 24 << 20
-CACHE_WORDS = 400_000
+BUCKET_BYTES = 16 << 20
+CACHE_WORDS = 250_000
 _POWERS = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in range(WORDS)]
 
 
@@ -314,6 +314,7 @@ def walked(rows: DataFrame, payload: str, run: Callable[[pa.Table], list[tuple[i
         cuts = np.r_[0, np.flatnonzero(np.diff(unit)) + 1, len(unit)]
         edges = [e for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()) if b - a > 1 for e in run(table.slice(a, b - a))]
         u, v = (list(x) for x in zip(*edges)) if edges else ([], [])
+        trim()
         return pa.Table.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     bucketed = rows.withColumn("bucket", F.pmod(F.xxhash64("unit", F.lit(1)), F.lit(spread)))

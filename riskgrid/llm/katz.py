@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgrid.llm.common import id_remainder, mixed, numbering, texts
+from riskgrid.llm.common import id_remainder, mixed, numbering, texts, trim
 from riskgrid.session import scratch_path, stage
 
 #: Counts up to this are discounted by Good-Turing.
@@ -129,6 +129,7 @@ class Block:
         self.sizes = np.array(sizes, np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.of_training = np.repeat(self.training, self.sizes)
+        trim()
         hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in ids), np.uint64, len(ids))
         # Words in order of their hashes: the order of questions and answers.
         order = np.argsort(hashes, kind="stable")
