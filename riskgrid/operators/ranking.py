@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # 4 hex digits of an md5: 65,536 buckets of equal expected size per group.
 _BUCKET_DIGITS = 4
+# Groups whose limits are broadcast.
+MOST_GROUPS = 10_000
 
 
 def text_hash(columns: Sequence[str]) -> Column:
@@ -24,49 +26,60 @@ def cut_by_hash(
 
     ``cuts`` are row counts within the group, ascending, written over columns ``_group`` (the group's
     value), ``group_rows`` (rows in the row's group) and ``smallest_group`` (rows in the smallest group). Row number ``r`` (from 1)
-    gets ``count(cut < r)``, exactly as a ``row_number`` over the whole group would decide.
-
-    Only buckets that a cut passes through are ranked, about 1/65,536 of a group each; every other
-    row is decided by its bucket's running count. That count table is broadcast; it has at most
-    65,536 rows per group, and groups are class labels. Rows of a null group are kept apart by a
-    null-safe match.
+    gets ``count(cut < r)``, exactly as a ``row_number`` over the whole group would decide; ``key`` must
+    tell rows apart, rows with equal keys are not parted.
+
+    Two passes over group and key alone find the last row before each cut: hash buckets are counted,
+    and only those that a cut passes through are ranked, about 1/65,536 of a group each. Whole rows
+    are then read once and compared with these rows, without a shuffle. The table of them is
+    broadcast; it has a row per group, groups are class labels, and more than
+    ``MOST_GROUPS`` are an error. Rows of a null group are kept apart by a null-safe match.
     """
-    spread = df.withColumn("_hash", text_hash(key))
-    spread = spread.withColumn("_bucket", F.substring("_hash", 1, _BUCKET_DIGITS))
+    place = F.struct(text_hash(key).alias("hash"), *key)
+    digests = df.select(F.col(group).alias("_group"), place.alias("_place"))
+    bucket = F.substring("_place.hash", 1, _BUCKET_DIGITS)
 
     by_bucket = W.partitionBy("_group").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    sizes = spread.groupBy(F.col(group).alias("_group"), F.col("_bucket").alias("_part")).agg(
-        F.count(F.lit(1)).alias("_size")
-    )
-    sizes = sizes.withColumnRenamed("_part", "_bucket").withColumns(
+    sizes = digests.groupBy("_group", bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = sizes.withColumns(
         {
             "_before": F.coalesce(F.sum("_size").over(by_bucket), F.lit(0)),
             "group_rows": F.sum("_size").over(W.partitionBy("_group")),
         }
     )
-    smallest = sizes.agg(F.min("group_rows")).scalar()
-    sizes = sizes.withColumn("smallest_group", smallest)
-
-    def behind(row: Column) -> Column:
-        return sum((F.when(cut < row, 1).otherwise(0) for cut in cuts), F.lit(0))
-
-    table = F.broadcast(
-        sizes.select(
-            "_group",
-            F.col("_bucket").alias("_part"),
-            "_before",
-            *[cut.alias(f"_cut{i}") for i, cut in enumerate(cuts)],
-            behind(F.col("_before") + 1).alias("_first"),
-            behind(F.col("_before") + F.col("_size")).alias("_last"),
-        )
+    totals = sizes.agg(
+        F.struct(F.min("group_rows").alias("smallest"), F.count_distinct("_group").alias("groups"))
+    ).scalar()
+    sizes = sizes.withColumn("smallest_group", totals["smallest"])
+
+    limits = sizes.select("_group", "group_rows", "smallest_group").distinct()
+    limits = limits.where(F.when(totals["groups"] <= MOST_GROUPS, True).otherwise(F.raise_error(F.lit("too many groups"))))
+    limits = limits.withColumn("_cuts", F.array(*[F.floor(cut).cast("bigint") for cut in cuts]))
+
+    crossed = sizes.select(
+        F.col("_group").alias("_of"),
+        F.col("_bucket").alias("_part"),
+        "_before",
+        "_size",
+        F.posexplode(F.array(*[F.floor(cut).cast("bigint") for cut in cuts])).alias("_number", "_cut"),
+    ).where("_before < _cut and _cut <= _before + _size")
+    near = digests.join(F.broadcast(crossed), F.col("_group").eqNullSafe(F.col("_of")) & (bucket == F.col("_part")))
+    in_bucket = W.partitionBy("_of", "_part", "_number").orderBy("_place")
+    near = near.withColumn("_row", F.col("_before") + F.row_number().over(in_bucket)).where("_row = _cut")
+    last = near.groupBy("_of").agg(
+        *[F.max(F.when(F.col("_number") == i, F.col("_place"))).alias(f"_last{i}") for i in range(len(cuts))]
     )
-    placed = spread.join(table, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_bucket") == F.col("_part")))
-    whole = placed.where("_first = _last").withColumn(out, F.col("_first"))
-    in_bucket = W.partitionBy(group, "_bucket").orderBy("_hash", *key)
-    ranked = placed.where("_first <> _last").withColumn("_row", F.col("_before") + F.row_number().over(in_bucket))
-    passed = sum((F.when(F.col(f"_cut{i}") < F.col("_row"), 1).otherwise(0) for i in range(len(cuts))), F.lit(0))
-    edge = ranked.withColumn(out, passed)
-    return whole.select(*df.columns, out).unionByName(edge.select(*df.columns, out))
+    table = limits.join(last, F.col("_group").eqNullSafe(F.col("_of")), "left")
+
+    # The limits travel as one column, so that none of their names meets one of the rows'.
+    packed = table.select("_group", F.struct("group_rows", "_cuts", *[f"_last{i}" for i in range(len(cuts))]).alias("_limits"))
+    placed = df.join(F.broadcast(packed), F.col(group).eqNullSafe(F.col("_group")))
+
+    def passed(i: int) -> Column:
+        cut, at = F.col("_limits._cuts")[i], F.col(f"_limits._last{i}")
+        return F.when(cut <= 0, 1).when(cut >= F.col("_limits.group_rows"), 0).when(place > at, 1).otherwise(0)
+
+    return placed.withColumn(out, sum((passed(i) for i in range(len(cuts))), F.lit(0))).select(*df.columns, out)
 
 
 def number_by_first_seen(df: DataFrame, seen: str, seen_hour: str, ties: Sequence[str], out: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from riskgrid.functions.dates import day_hour_index, index_date, index_hour
 from riskgrid.functions.geo import KEY
 from riskgrid.operators.grid import bounds_struct
-from riskgrid.schemas import TARGET
+from riskgrid.schemas import TARGET, WEATHER_COLUMNS
 from riskgrid.session import shuffle_width
 
 
@@ -95,8 +95,8 @@ def grid_window_counts(
     adaptive execution from merging the small input of what grows into the whole grid.
     """
     spark = locations.sparkSession
-    reach_back = -min(w.first for w in windows)
-    reach_on = max(0, max(w.last for w in windows))
+    reach_back = max((-w.first for w in windows), default=0)
+    reach_on = max((0, *(w.last for w in windows)))
     limits = bounds_struct(bounds)
     first = day_hour_index(limits["start_date"], F.lit(0))
     last = day_hour_index(limits["end_date"], F.lit(23))
@@ -142,6 +142,14 @@ def grid_window_counts(
     )
 
 
+def grid_weather(locations: DataFrame, weather: DataFrame, bounds: DataFrame) -> DataFrame:
+    """The hourly grid of ``locations`` with the weather of each place-hour, null where none is known.
+
+    Same rows as ``join_weather`` on the made grid, but only places and place-hours are sent.
+    """
+    return grid_window_counts(locations, weather, bounds, [], [*WEATHER_COLUMNS, "weather_condition"])
+
+
 def lag_columns() -> dict[str, Column]:
     """Lag features from the trailing counts. The seven-day count has two names in the schema."""
     return {

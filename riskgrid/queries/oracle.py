@@ -408,22 +408,9 @@ _TEXTS: dict[str, str] = {
                coalesce(weather_condition in ('Light Snow', 'Heavy Rain'), false) as is_severe_weather
         from accidents""",
     "q47_cluster_lookup": f"""
-        select {_KEY}, coalesce(cast(cluster_id as integer), -1) as cluster_id
-        from grid g left join (
-            select lat_e4, lon_e4, cluster_id, row_number() over (
-                partition by lat_e4, lon_e4 order by "timestamp" desc, cluster_id desc) as r
-            from placed p join (
-                select cl, cn, row_number() over (order by min("timestamp"), cl, cn) - 1 as cluster_id
-                from (select floor(latitude) as cl, floor(longitude) as cn, "timestamp"
-                      from placed where weather_condition = 'fog')
-                group by cl, cn) c
-              on c.cl = floor(latitude) and c.cn = floor(longitude)
-            where weather_condition = 'fog') m
-          on m.lat_e4 = g.lat_e4 and m.lon_e4 = g.lon_e4 and m.r = 1""",
-    "q48_historical_count": f"""
-        select {_KEY}, coalesce(n, 0) as accident_freq_historical
-        from grid left join (select lat_e4, lon_e4, count(*) as n from placed
-                             where weather_condition = 'fog' group by all) using (lat_e4, lon_e4)""",
+        select {_KEY}, coalesce(m.cluster_id, -1) as cluster_id
+        from grid left join (select lat_e4, lon_e4, cluster_id from cluster_map) m using (lat_e4, lon_e4)""",
+    "q48_historical_count": f"select {_KEY}, freq as accident_freq_historical from grid_history",
     "q48_historical_count_as_of": f"""
         select {_KEY}, coalesce(n, 0) as accident_freq_historical
         from grid left join (select lat_e4, lon_e4, count(*) as n from placed

@@ -18,7 +18,7 @@ from riskgrid.operators import weather as wx
 from riskgrid.operators import windows as win
 from riskgrid.operators.quantiles import exact_medians, exact_modes
 from riskgrid.plans import endtoend
-from riskgrid.plans.features import build_features
+from riskgrid.plans.features import build_features, grid_medians, place_hours
 from riskgrid.plans.score import predictions_of, score_day
 from riskgrid.plans.train import best_by_test_auc, train_models, training_set
 from riskgrid.queries import views
@@ -494,18 +494,23 @@ def q43_weather_mode(spark, sf_dir):
     return _weather(spark, sf_dir).select(*wx.PLACE_HOUR, "weather_condition")
 
 
+def _grid_weather(spark, sf_dir, hours):
+    places = locations.distinct_locations(views.accidents(spark, sf_dir))
+    return grid.with_location_id(win.grid_weather(places, hours, event_bounds(spark, sf_dir)))
+
+
 @query
 def q44_weather_join(spark, sf_dir):
-    joined = wx.join_weather(event_grid(spark, sf_dir), _weather(spark, sf_dir))
+    joined = _grid_weather(spark, sf_dir, _weather(spark, sf_dir))
     picked = joined.select(*ROW_KEY, *schemas.WEATHER_COLUMNS, "weather_condition")
     return rounded(picked, *schemas.WEATHER_COLUMNS)
 
 
 @query
 def q45_median_imputation(spark, sf_dir):
-    joined = wx.join_weather(event_grid(spark, sf_dir), _weather(spark, sf_dir))
-    filled = wx.impute_medians(joined).select(*ROW_KEY, *schemas.WEATHER_COLUMNS)
-    return rounded(filled, *schemas.WEATHER_COLUMNS)
+    hours = place_hours(views.accidents(spark, sf_dir))
+    filled = wx.fill_with(_grid_weather(spark, sf_dir, hours), grid_medians(hours))
+    return rounded(filled.select(*ROW_KEY, *schemas.WEATHER_COLUMNS), *schemas.WEATHER_COLUMNS)
 
 
 @query
@@ -520,33 +525,40 @@ def q46_severe_weather(spark, sf_dir):
     return flagged.select("accident_id", "weather_condition", "is_severe_weather")
 
 
+def _place_grid(spark, sf_dir, places):
+    """The grid of places that already carry their columns: joined before it grows."""
+    return grid.with_location_id(grid.hourly_grid(places, event_bounds(spark, sf_dir)))
+
+
 @query
 def q47_cluster_lookup(spark, sf_dir):
-    # The map knows only places that reported fog; the others get -1.
     accidents = views.accidents(spark, sf_dir)
-    clusters = locations.cell_clusters(accidents.where("weather_condition = 'fog'"), 1.0)
-    looked_up = locations.with_cluster(event_grid(spark, sf_dir), clusters)
-    return looked_up.select(*ROW_KEY, "cluster_id")
+    clusters = locations.cell_clusters(accidents, 1.0)
+    places = locations.with_cluster(locations.distinct_locations(accidents), clusters)
+    return _place_grid(spark, sf_dir, places).select(*ROW_KEY, "cluster_id")
 
 
 @query
 def q48_historical_count(spark, sf_dir):
-    accidents = views.accidents(spark, sf_dir)
-    counted = grid.with_history(event_grid(spark, sf_dir), accidents.where("weather_condition = 'fog'"))
-    return counted.select(*ROW_KEY, "accident_freq_historical")
+    places = locations.location_counts(views.accidents(spark, sf_dir))
+    return _place_grid(spark, sf_dir, places).select(*ROW_KEY, "accident_freq_historical")
 
 
 @query
 def q48_historical_count_as_of(spark, sf_dir):
-    counted = grid.with_history(event_grid(spark, sf_dir), views.accidents(spark, sf_dir), as_of=DAY)
-    return counted.select(*ROW_KEY, "accident_freq_historical")
+    accidents = views.accidents(spark, sf_dir)
+    places = grid.with_history(locations.distinct_locations(accidents), accidents, as_of=DAY)
+    return _place_grid(spark, sf_dir, places).select(*ROW_KEY, "accident_freq_historical")
 
 
 @query
 def q49_road_type(spark, sf_dir):
-    counted = grid.with_history(event_grid(spark, sf_dir), views.accidents(spark, sf_dir))
-    typed = grid.with_road_type(counted, grid.road_cutoffs(counted))
-    return typed.select(*ROW_KEY, "accident_freq_historical", "road_type")
+    places = locations.location_counts(views.accidents(spark, sf_dir))
+    # Every place has the same number of grid rows, so the quartiles over places are those over rows
+    # once each place counts that often.
+    days = event_bounds(spark, sf_dir).select((F.date_diff("end_date", "start_date") + 1).alias("days")).scalar()
+    typed = grid.with_road_type(places, grid.road_cutoffs(places, weight=days * 24))
+    return _place_grid(spark, sf_dir, typed).select(*ROW_KEY, "accident_freq_historical", "road_type")
 
 
 def _window_grid(spark, sf_dir, windows):

@@ -86,3 +86,22 @@ def test_cells_are_numbered_by_first_appearance(spark):
     frame = frame.withColumn("timestamp", F.col("t").cast("timestamp_ntz"))
     got = {(r.lat_e4, r.lon_e4): r.cluster_id for r in cell_clusters(frame, 1.0).collect()}
     assert got == {(95000, 5000): 0, (96000, 5000): 0, (5000, 15000): 1, (15000, 15000): 2, (55000, 55000): 3}
+
+
+def test_more_groups_than_the_broadcast_allows_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "MOST_GROUPS", 1)
+    with pytest.raises(Exception, match="too many groups"):
+        sampling.undersample(labelled(spark, 5, 5), "y", ["id"]).collect()
+
+
+def test_unknown_labels_are_a_group_of_their_own(spark):
+    frame = spark.range(30).withColumn("y", F.when(F.col("id") < 10, 1).when(F.col("id") < 16, 0))
+    got = Counter(r.y for r in sampling.undersample(frame, "y", ["id"]).collect())
+    assert got == {1: 6, 0: 6, None: 6}
+
+
+def test_cuts_read_whole_rows_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    labelled(spark, 50, 70).withColumn("payload", F.col("id") * 2).write.parquet(path)
+    plan = sampling.stratified_split(spark.read.parquet(path), "y", ["id"])._jdf.queryExecution().sparkPlan().toString()
+    assert sum("payload" in line for line in plan.splitlines() if "ReadSchema" in line) == 1
