@@ -8,6 +8,26 @@ from __future__ import annotations
 
 import re
 
+from riskgrid import schemas
+from riskgrid.queries.views import other_raw_texts
+
+# The raw texts under headers without a rule below, and how each kind of column is cleaned.
+_OTHER = other_raw_texts()
+_OTHER_TEXTS = ", ".join(f'{text} as "{header}"' for header, text in _OTHER.items())
+_OTHER_RENAMED = ", ".join(f'"{header}" as {schemas.RAW_COLUMNS[header]}' for header in _OTHER)
+
+
+def _cleaned(columns: list[str]) -> str:
+    kinds = {
+        **{c: f"coalesce(cast({c} as boolean), false) as {c}" for c in schemas.FLAG_COLUMNS},
+        **{c: f"try_cast({c} as double) as {c}" for c in schemas.MEASURE_COLUMNS},
+        **{c: f"nullif({c}, 'nan') as {c}" for c in schemas.TEXT_COLUMNS},
+    }
+    return ", ".join(kinds[c] for c in columns)
+
+
+_OTHER_CLEANED = _cleaned([schemas.RAW_COLUMNS[header] for header in _OTHER])
+
 # Named subqueries; ``oracle`` puts those that a text mentions in front of it.
 _PARTS: dict[str, str] = {
     "accidents": """
@@ -30,7 +50,7 @@ _PARTS: dict[str, str] = {
                cast(round(longitude * 10000) as bigint) as lon_e4,
                datediff('hour', timestamp '1970-01-01', "timestamp") as hour_idx
         from accidents""",
-    "raw": """
+    "raw": f"""
         select cast(event_id as varchar) as "ID",
                case when event_id % 97 = 0 then 'not a time'
                     when event_id % 101 <> 0 then strftime(ts, '%Y-%m-%d %H:%M:%S') end as "Start_Time",
@@ -40,20 +60,23 @@ _PARTS: dict[str, str] = {
                case when event_id % 83 <> 0 then cast(1 + event_id % 4 as varchar) end as "Severity",
                case when event_id % 79 = 0 then 'abc' else cast(value as varchar) end as "Temperature(F)",
                case when event_id % 2 = 0 then 'True' when event_id % 3 <> 0 then 'False' end as "Junction",
-               case when event_type = 'purchase' then 'nan' else event_type end as "Weather_Condition"
+               case when event_type = 'purchase' then 'nan' else event_type end as "Weather_Condition",
+               case when event_id % 13 = 0 then 'NaT' else strftime(ts, '%Y-%m-%d %H:%M:%S') end as "Weather_Timestamp",
+               {_OTHER_TEXTS}
         from events""",
-    "renamed": """
+    "renamed": f"""
         select "ID" as accident_id, "Start_Time" as "timestamp", "Start_Lat" as latitude, "Start_Lng" as longitude,
                "Severity" as severity, "Temperature(F)" as temperature_f, "Junction" as junction,
-               "Weather_Condition" as weather_condition
+               "Weather_Condition" as weather_condition, "Weather_Timestamp" as weather_timestamp, {_OTHER_RENAMED}
         from raw""",
-    "cleaned": """
+    "cleaned": f"""
         select accident_id, try_cast("timestamp" as timestamp) as "timestamp",
                cast(latitude as double) as latitude, cast(longitude as double) as longitude,
                coalesce(cast(try_cast(severity as double) as integer), 0) as severity,
                try_cast(temperature_f as double) as temperature_f,
                coalesce(try_cast(junction as boolean), false) as junction,
-               nullif(weather_condition, 'nan') as weather_condition
+               nullif(weather_condition, 'nan') as weather_condition,
+               try_cast(weather_timestamp as timestamp) as weather_timestamp, {_OTHER_CLEANED}
         from renamed
         where accident_id is not null and latitude is not null and longitude is not null
           and try_cast("timestamp" as timestamp) is not null
@@ -280,9 +303,9 @@ def _window(columns: str) -> str:
 
 
 _TEXTS: dict[str, str] = {
-    "q01_csv_event_scan": """
-        select "ID", "Start_Time", "Start_Lat", "Start_Lng", "Severity", "Temperature(F)", "Junction",
-               nullif("Weather_Condition", 'nan') as "Weather_Condition"
+    "q01_csv_event_scan": f"""
+        select "ID", "Start_Time", "Start_Lat", "Start_Lng", "Severity", "Temperature(F)", "Junction", "Weather_Timestamp",
+               {", ".join(f"""nullif("{h}", 'nan') as "{h}" """ for h in ["Weather_Condition", *_OTHER])}
         from raw""",
     "q02_event_scan": "select * from accidents",
     "q02_event_scan_summary": """
@@ -348,16 +371,13 @@ _TEXTS: dict[str, str] = {
     "q21_valid_coordinates": """
         select accident_id, cast(latitude as double) as latitude, cast(longitude as double) as longitude from renamed
         where cast(latitude as double) between -90 and 90 and cast(longitude as double) between -180 and 180""",
-    "q22_default_flags": "select accident_id, coalesce(cast(junction as boolean), false) as junction from renamed",
-    "q23_coerce_measures": "select accident_id, try_cast(temperature_f as double) as temperature_f from renamed",
+    "q22_default_flags": f"select accident_id, {_cleaned(schemas.FLAG_COLUMNS)} from renamed",
+    "q23_coerce_measures": f"select accident_id, {_cleaned(schemas.MEASURE_COLUMNS)} from renamed",
     "q24_default_severity": "select accident_id, coalesce(cast(severity as integer), 0) as severity from renamed",
-    "q25_normalize_texts": """
-        select accident_id, nullif(weather_condition, 'nan') as weather_condition from renamed""",
+    "q25_normalize_texts": f"select accident_id, {_cleaned(schemas.TEXT_COLUMNS)} from renamed",
     "q26_sort_by_time": "select * from cleaned",
     "q27_table_columns": """
-        select *, cast(null as double) as humidity,
-               case when weather_condition is not null then "timestamp" end as weather_timestamp
-        from cleaned""",
+        select * replace (cast(null as double) as humidity) from cleaned""",
     "q28_cleaning_summary": """
         select count(*) as rows_in,
                count(*) filter (where "timestamp" is null) as missing_required,

@@ -333,12 +333,12 @@ def q21_valid_coordinates(spark, sf_dir):
 
 @query
 def q22_default_flags(spark, sf_dir):
-    return cleaning.default_flags(_renamed(spark, sf_dir)).select("accident_id", "junction")
+    return cleaning.default_flags(_renamed(spark, sf_dir)).select("accident_id", *schemas.FLAG_COLUMNS)
 
 
 @query
 def q23_coerce_measures(spark, sf_dir):
-    return cleaning.coerce_measures(_renamed(spark, sf_dir)).select("accident_id", "temperature_f")
+    return cleaning.coerce_measures(_renamed(spark, sf_dir)).select("accident_id", *schemas.MEASURE_COLUMNS)
 
 
 @query
@@ -348,7 +348,7 @@ def q24_default_severity(spark, sf_dir):
 
 @query
 def q25_normalize_texts(spark, sf_dir):
-    return cleaning.normalize_texts(_renamed(spark, sf_dir)).select("accident_id", "weather_condition")
+    return cleaning.normalize_texts(_renamed(spark, sf_dir)).select("accident_id", *schemas.TEXT_COLUMNS)
 
 
 @query
@@ -358,13 +358,7 @@ def q26_sort_by_time(spark, sf_dir):
 
 @query
 def q27_table_columns(spark, sf_dir):
-    extra = views.raw(spark, sf_dir).withColumns(
-        {
-            "Weather_Timestamp": F.when(F.col("Weather_Condition") == "nan", "NaT").otherwise(F.col("Start_Time")),
-            "Humidity(%)": F.lit("NaN"),
-            "Unknown": F.lit(1),
-        }
-    )
+    extra = views.raw(spark, sf_dir).withColumns({"Humidity(%)": F.lit("NaN"), "Unknown": F.lit(1)})
     return cleaning.to_table_columns(cleaning.clean(extra))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskgrid import schemas
 from riskgrid.functions.risk import risk_category
 
 
@@ -40,8 +41,25 @@ def accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Raw headers whose texts have rules of their own in ``raw``.
+_NAMED = ("ID", "Start_Time", "Start_Lat", "Start_Lng", "Severity", "Temperature(F)", "Junction", "Weather_Condition")
+
+
+def other_raw_texts() -> dict[str, str]:
+    """SQL, as Spark and DuckDB both read it, of the texts under all other raw headers: flags, measures, words, a time."""
+    texts = {}
+    for i, header in enumerate(h for h in schemas.RAW_COLUMNS if h not in _NAMED):
+        if header in schemas.RAW_FLAGS:
+            texts[header] = f"case when (event_id + {i}) % 4 = 0 then 'True' when (event_id + {i}) % 3 <> 0 then 'False' end"
+        elif header in schemas.RAW_TEXTS:
+            texts[header] = f"case when (event_id + {i}) % 5 = 0 then 'nan' else concat('{header[0]}', cast(event_id % {i + 2} as string)) end"
+        elif header != "Weather_Timestamp":
+            texts[header] = f"case when event_id % {i + 11} = 0 then 'abc' else cast((event_id % 64) / 8e0 as string) end"
+    return texts
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as dirty text under raw file headers."""
+    """Events as dirty text under all raw file headers."""
     return table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("ID"),
         F.when(F.expr("event_id % 97 = 0"), "not a time")
@@ -53,6 +71,10 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.expr("event_id % 79 = 0"), "abc").otherwise(F.col("value").cast("string")).alias("Temperature(F)"),
         F.expr("case when event_id % 2 = 0 then 'True' when event_id % 3 <> 0 then 'False' end as Junction"),
         F.expr("case when event_type = 'purchase' then 'nan' else event_type end as Weather_Condition"),
+        F.when(F.expr("event_id % 13 = 0"), "NaT")
+        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+        .alias("Weather_Timestamp"),
+        *[F.expr(text).alias(header) for header, text in other_raw_texts().items()],
     )
 
 
