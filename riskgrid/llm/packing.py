@@ -18,7 +18,7 @@ from riskgrid.session import shuffle_width, stage
 
 CAPACITY = 2048
 #: Words, and runs of letters in them, whose ids a Python worker remembers.
-CACHE_WORDS, CACHE_LETTERS = 300_000, 450_000
+CACHE_WORDS, CACHE_LETTERS = 600_000, 600_000
 #: ASCII marks but the apostrophe, which the tokenizer's rules single out.
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Latin letters whose lower case is one letter each.
@@ -30,6 +30,28 @@ BACKTRACKS = 12
 _END = (0).to_bytes(4, "little")
 
 
+class Memory:
+    """Values of about ``most`` keys: those of late, and the generation before them.
+
+    Full, it drops the older half, so that frequent keys stay however many rare ones pass by.
+    """
+
+    def __init__(self, most: int):
+        self.most = most
+        self.now: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+
+    def unknown(self, wanted: set[bytes]) -> set[bytes]:
+        """Brings what is known of ``wanted`` into the present generation; the other keys are returned."""
+        now, before = self.now, self.before
+        missing = wanted.difference(now)
+        back = {k: before[k] for k in missing if k in before}
+        if len(now) + len(missing) > self.most // 2:
+            self.now, self.before = {k: now[k] for k in wanted if k in now}, now
+        self.now.update(back)
+        return missing.difference(back)
+
+
 class WordIds:
     """Token ids of texts, from the ids of their words.
 
@@ -42,8 +64,8 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
-        self.letters: dict[bytes, bytes] = {}
+        self.words = Memory(CACHE_WORDS)
+        self.letters = Memory(CACHE_LETTERS)
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
@@ -51,16 +73,13 @@ class WordIds:
 
     def _learn_letters(self, wanted: set[bytes]) -> None:
         """All in one text: each run of letters is one word to the tokenizer, so its word numbers say whose an id is."""
-        new = list(wanted.difference(self.letters))
-        if len(self.letters) + len(new) > CACHE_LETTERS:
-            self.letters.clear()
-            new = list(wanted)
+        new = list(self.letters.unknown(wanted))
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
             made = self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False)
             ids = np.array(made.ids, "<u4").tobytes()
             ends = (4 * np.cumsum(np.bincount(np.array(made.word_ids), minlength=len(part)))).tolist()
-            self.letters.update((w, ids[a:b]) for w, a, b in zip(part, [0, *ends[:-1]], ends))
+            self.letters.now.update((w, ids[a:b]) for w, a, b in zip(part, [0, *ends[:-1]], ends))
 
     def learn(self, words: set[bytes]) -> None:
         heads, rest = {}, []
@@ -73,7 +92,7 @@ class WordIds:
         self._learn_letters(set(heads.values()))
         marks = list({word[len(head) :] for word, head in heads.items()})
         of_marks = dict(zip(marks, self._encoded([m.decode() for m in marks])))
-        of_letters, known = self.letters, self.words
+        of_letters, known = self.letters.now, self.words.now
         for word, head in heads.items():
             known[word] = of_letters[head] if len(word) == len(head) else of_letters[head] + of_marks[word[len(head) :]]
         known.update(zip(rest, self._encoded([w.decode("utf-8", "replace") for w in rest])))
@@ -82,13 +101,8 @@ class WordIds:
         """Per text the ids and then id 0, as little-endian 32-bit numbers."""
         # Lower-casing first leaves fewer words; not where it could make the name of a special token.
         split = [(x if b"<|" in x else x.lower()).split() for x in data]
-        used = set().union(*split)
-        new = used.difference(self.words)
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.words.clear()
-            new = used
-        self.learn(new)
-        get = self.words.__getitem__
+        self.learn(self.words.unknown(set().union(*split)))
+        get = self.words.now.__getitem__
         return [b"".join(map(get, words)) + _END for words in split]
 
 
