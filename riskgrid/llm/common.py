@@ -8,7 +8,7 @@ import hashlib
 import itertools
 import sys
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +34,28 @@ def id_remainder(modulus: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in order, in pieces of about ``limit`` bytes of ``column``."""
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """What a Python worker keeps under ``name`` for its later tasks, until it reads slices for something else."""
+    if name not in _KEPT:
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def slices(
+    batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES, keep: str | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in order, in pieces of about ``limit`` bytes of ``column``.
+
+    What earlier tasks of this worker kept under other names than ``keep`` is let go first.
+    """
+    others = [name for name in _KEPT if name != keep]
+    for name in others:
+        del _KEPT[name]
+    if others:
+        trim()
     for batch in batches:
         sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
         ends = np.cumsum(sizes)

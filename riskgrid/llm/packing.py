@@ -13,12 +13,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskgrid.llm.common import slices, texts
+from riskgrid.llm.common import kept, slices, texts
 from riskgrid.session import shuffle_width, stage
 
 CAPACITY = 2048
 #: Words, and runs of letters in them, whose ids a Python worker remembers.
-CACHE_WORDS, CACHE_LETTERS = 600_000, 600_000
+CACHE_WORDS, CACHE_LETTERS = 400_000, 450_000
 #: ASCII marks but the apostrophe, which the tokenizer's rules single out.
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Latin letters whose lower case is one letter each.
@@ -106,22 +106,14 @@ class WordIds:
         return [b"".join(map(get, words)) + _END for words in split]
 
 
-_WORD_IDS: dict[str, WordIds] = {}
-
-
-def word_ids(path: str) -> WordIds:
-    """One for each tokenizer and Python worker: later tasks find the words of earlier ones."""
-    if path not in _WORD_IDS:
-        _WORD_IDS[path] = WordIds(path)
-    return _WORD_IDS[path]
-
-
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: documents longer than ``capacity`` are cut, the others are whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = word_ids(tokenizer_path)
-        for batch in slices(batches):
+        # One for each tokenizer and Python worker: later tasks find the words of earlier ones.
+        name = f"ids of words, {tokenizer_path}"
+        for batch in slices(batches, keep=name):
+            ids_of = kept(name, lambda: WordIds(tokenizer_path))
             names = ("doc_id", "piece", "start", "length", "ids_crc32")
             rows: list[tuple] = []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), ids_of(batch.column("text").to_pylist())):

@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from riskgrid.llm import common
 from riskgrid.llm import packing as p
 from tests.llm.fixture import corpus, empty, frame
 
@@ -115,3 +116,23 @@ def test_ids_with_a_full_memory(monkeypatch):
     for _, text in corpus(40):
         ids = t.encode(text or "", add_special_tokens=False).ids + [0]
         assert made([(text or "").encode()]) == [np.array(ids, "<u4").tobytes()]
+
+
+def test_memories_are_let_go_when_the_worker_reads_for_something_else():
+    common._KEPT.clear()
+    assert common.kept("a", list) is common.kept("a", list)
+    list(common.slices([], keep="a"))
+    assert list(common._KEPT) == ["a"]
+    list(common.slices([]))
+    assert not common._KEPT
+
+
+def test_memory_keeps_what_is_used_again():
+    memory = p.Memory(8)
+    for i in range(50):
+        wanted = {b"often", b"rare%d" % i, b"rare%d" % (i + 1000)}
+        for key in memory.unknown(wanted):
+            assert key != b"often" or i == 0
+            memory.now[key] = key
+        assert all(memory.now[key] == key for key in wanted)
+        assert len(memory.now) + len(memory.before) <= 8
