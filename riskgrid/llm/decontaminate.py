@@ -1,4 +1,4 @@
-"""Benchmark decontamination: q-gram lemma filter in diagonal bands, verified by banded alignment."""
+"""Benchmark decontamination: q-grams of whole items in diagonal bands, passages verified by bit-parallel alignment."""
 
 from __future__ import annotations
 
@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from riskgrid.llm.common import mixed, slices, texts
 
 Q = 12
-#: A passage of a benchmark item: items are cut into windows of so many bytes, each beginning half a window later.
-WINDOW = 200
-#: Edits allowed, as a share of the passage.
-EDIT_SHARE = 0.06
+#: A passage of a benchmark item: so many bytes from each word on (less for short items, see passage_bytes). At most 64.
+WINDOW = 64
+#: Edits allowed, as a share of the passage: a replaced word or two.
+EDIT_SHARE = 0.125
+#: q-grams of a passage that must stand in one diagonal band: any four edits in 64 bytes leave as many.
+SHARED = 5
 #: Shorter items are no evidence: they occur by chance.
 SHORTEST = 40
 #: Bytes of benchmark text that are broadcast at once; a larger benchmark takes more passes over the documents.
@@ -53,52 +55,68 @@ def qgram_hashes(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def passage_bytes(length: int) -> int:
+    """Bytes of the passages of an item: a little under half of a short item, so that half of any item holds one."""
+    return min(length, WINDOW, max(SHORTEST, length // 2 - 8))
+
+
 @dataclass
 class Index:
-    """The passages of one block of the benchmark, and where each of their q-grams stands."""
+    """The items of one block of the benchmark, where each of their q-grams stands, and their passages."""
 
-    items: np.ndarray
-    passages: list[bytes]
+    data: np.ndarray  # the bytes of all items, one after another
     hashes: np.ndarray  # sorted, one entry for each place
-    passage: np.ndarray
-    place: np.ndarray
+    item: np.ndarray  # row of the item, by hash
+    place: np.ndarray  # place in the item, by hash
     present: np.ndarray  # by the hash's first bits
+    items: np.ndarray  # item_id by passage
+    rows: np.ndarray  # row of the item, by passage
+    starts: np.ndarray  # place in the item, by passage
+    first: np.ndarray  # place in data, by passage
+    sizes: np.ndarray  # bytes, by passage
+    length: np.ndarray  # bytes of the passages, by row of the item
 
     @staticmethod
     def of(rows: list[tuple[int, bytes]]) -> Index:
-        items, passages = [], []
-        for item, text in rows:
-            plain = normalised(text)
-            if len(plain) < SHORTEST:
-                continue
-            starts = range(0, max(1, len(plain) - WINDOW), WINDOW // 2)
-            for start in {*starts, max(0, len(plain) - WINDOW)}:
-                items.append(item)
-                passages.append(plain[start : start + WINDOW])
-        made = [qgram_hashes(np.frombuffer(p, np.uint8)) for p in passages]
+        kept = [(item, plain) for item, text in rows if len(plain := normalised(text)) >= SHORTEST]
+        plains = [np.frombuffer(plain, np.uint8) for _, plain in kept]
+        offsets = np.cumsum([0] + [len(x) for x in plains])
+        length = np.array([passage_bytes(len(x)) for x in plains], np.int64)
+        starts = []
+        for x, size in zip(plains, length.tolist()):
+            words = np.flatnonzero(x == 32) + 1
+            last = len(x) - size
+            starts.append(np.unique(np.r_[0, words[words < last], last]))
+        made = [qgram_hashes(x) for x in plains]
+        none = np.zeros(0, np.int64)
         hashes = np.concatenate(made) if made else np.zeros(0, np.uint64)
         order = np.argsort(hashes, kind="stable")
         present = np.zeros(1 << _BITS, bool)
         present[hashes >> np.uint64(64 - _BITS)] = True
-        number = np.repeat(np.arange(len(made)), [len(x) for x in made])
-        place = np.concatenate([np.arange(len(x)) for x in made]) if made else number
-        return Index(np.array(items, np.int64), passages, hashes[order], number[order], place[order], present)
+        item = np.repeat(np.arange(len(made)), [len(x) for x in made])
+        place = np.concatenate([np.arange(len(x)) for x in made]) if made else none
+        row = np.repeat(np.arange(len(starts)), [len(x) for x in starts])
+        start = np.concatenate(starts) if starts else none
+        ids = np.array([i for i, _ in kept], np.int64)
+        return Index(
+            np.concatenate(plains) if plains else np.zeros(0, np.uint8), hashes[order], item[order], place[order], present,
+            ids[row], row, start, offsets[row] + start, length[row], length,
+        )
+
+    @property
+    def passages(self) -> list[bytes]:
+        return [self.data[f : f + n].tobytes() for f, n in zip(self.first.tolist(), self.sizes.tolist())]
 
 
 def budget(length: int) -> int:
     return int(length * EDIT_SHARE)
 
 
-def least_shared(length: int) -> int:
-    """The q-gram lemma: a copy with e edits keeps at least (m - Q + 1) - e * Q of the passage's q-grams."""
-    return max(1, length - Q + 1 - budget(length) * Q)
-
-
 def edits(passage: bytes, region: bytes, first: int, most: int) -> int:
     """Fewest edits from ``passage`` to a piece of ``region``, at most ``most`` + 1.
 
     The alignment stays within the diagonals first - most ... first + 3 * most of region against passage; begin and end
-    in the region are free.
+    in the region are free. The plain form of fewest_edits, for one passage of any length.
     """
     if passage in region:
         return 0
@@ -123,6 +141,34 @@ def edits(passage: bytes, region: bytes, first: int, most: int) -> int:
     return int(row.min())
 
 
+def fewest_edits(index: Index, passage: np.ndarray, text: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Fewest edits from each passage to a piece of text[begin:stop], begin and end free: Myers' bit vectors."""
+    known, number = np.unique(passage, return_inverse=True)
+    size = index.sizes[known]
+    letters = np.zeros((len(known), 257), np.uint64)  # the last column is for places outside the region
+    for k in range(int(size.max())):
+        at = np.flatnonzero(size > k)
+        letters[at, index.data[index.first[known[at]] + k]] |= np.uint64(1 << k)
+    one = np.uint64(1)
+    score = index.sizes[passage]
+    top = one << (score - 1).astype(np.uint64)
+    best = score.copy()
+    more, less = np.full(len(passage), ~np.uint64(0)), np.zeros(len(passage), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(int((stop - begin).max())):
+            at = begin + k
+            letter = np.where(at < stop, text[np.minimum(at, len(text) - 1)], 256)
+            same = letters[number, letter]
+            down = same | less
+            along = (((same & more) + more) ^ more) | same
+            up, low = less | ~(along | more), more & along
+            score = score + ((up & top) != 0) - ((low & top) != 0)
+            up, low = up << one, low << one
+            more, less = low | ~(down | up), up & down
+            best = np.minimum(best, score)
+    return best
+
+
 def matches(data: list[bytes], index: Index) -> Iterator[tuple[int, int, int, int, int]]:
     """(text number, item, edits, shared q-grams, place) of verified passages in normalised texts, best per text and item."""
     plain = [normalised(x) for x in data]
@@ -138,42 +184,63 @@ def matches(data: list[bytes], index: Index) -> Iterator[tuple[int, int, int, in
         return
     offsets = np.cumsum([0] + [len(x) + 1 for x in plain])
     doc_of_hit = np.searchsorted(offsets, hit, side="right") - 1
-    # Every (place in the text, place in a passage) that share a q-gram.
-    entry = np.repeat(low - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())
+    # Every (place in the text, place in an item) that share a q-gram.
+    entry = ranges(low, many)
     doc, at = np.repeat(doc_of_hit, many), np.repeat(hit - offsets[doc_of_hit], many)
-    passage, place = index.passage[entry], index.place[entry]
-    sizes = np.array([len(p) for p in index.passages])
-    budgets = np.array([budget(n) for n in sizes])
-    needed = np.array([least_shared(n) for n in sizes])
-    diagonal = at - place
+    row, place = index.item[entry], index.place[entry]
     # Bands of 2(e + 1) diagonals that begin e + 1 apart: any e + 1 neighbouring diagonals are whole in one of them.
-    width = budgets[passage] + 1
-    band = diagonal // width
-    keys = np.r_[np.c_[doc, passage, band], np.c_[doc, passage, band - 1]]
-    places = np.r_[place, place]
-    order = np.lexsort((places, keys[:, 2], keys[:, 1], keys[:, 0]))
-    keys, places = keys[order], places[order]
-    new = np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)]
-    # A q-gram of the passage counts once in a band, however often the text repeats it.
-    distinct = np.r_[True, new[1:] | (places[1:] != places[:-1])]
+    budgets = np.array([budget(n) for n in index.length.tolist()])
+    band = (at - place) // (budgets[row] + 1)
+    keys = np.r_[np.c_[doc, row, band, place], np.c_[doc, row, band - 1, place]]
+    keys = keys[np.lexsort(keys.T[::-1])]
+    # A q-gram of the item counts once in a band, however often the text repeats it.
+    keys = keys[np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)]]
+    new = np.r_[True, (keys[1:, :3] != keys[:-1, :3]).any(axis=1)]
     group = np.cumsum(new) - 1
-    shared = np.bincount(group, weights=distinct).astype(np.int64)
-    keys = keys[new]
-    good = shared >= needed[keys[:, 1]]
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for (d, p, b), n in zip(keys[good].tolist(), shared[good].tolist()):
-        most = int(budgets[p])
-        start = b * (most + 1)
-        low_at = max(0, start - most)
-        region = plain[d][low_at : start + 2 * (most + 1) + len(index.passages[p]) + most]
-        key = (d, int(index.items[p]))
-        if key in best and best[key][0] == 0:
-            continue
-        cost = edits(index.passages[p], region, start - low_at, most)
-        if cost <= most and (key not in best or (cost, -n, start) < (best[key][0], -best[key][1], best[key][2])):
-            best[key] = (cost, n, max(0, start))
-    for (d, item), (cost, n, start) in sorted(best.items()):
-        yield d, item, cost, n, start
+    doc, row, band, place = keys.T
+    # The passages that hold SHARED q-grams in a row of a band, fewer if a passage has no more.
+    needed = np.minimum(SHARED, index.length[row] - Q + 1)
+    last = np.arange(len(group)) + needed - 1
+    inside = last < len(group)
+    inside[inside] = group[last[inside]] == group[inside]
+    k = np.flatnonzero(inside)
+    span = int(index.starts.max()) + 1
+    where = index.rows * span + index.starts
+    from_ = np.maximum(place[last[k]] + Q - index.length[row[k]], 0)
+    to = np.minimum(place[k], span - 1)
+    low = np.searchsorted(where, row[k] * span + np.minimum(from_, span - 1), side="left")
+    many = np.where(from_ <= to, np.searchsorted(where, row[k] * span + to, side="right") - low, 0)
+    passage, group_of = ranges(low, many), group[np.repeat(k, many)]
+    if not len(passage):
+        return
+    pairs = np.unique(group_of * len(where) + passage)
+    group_of, passage = pairs // len(where), pairs % len(where)
+    head = np.flatnonzero(new)[group_of]
+    doc, band, start = doc[head], band[head], index.starts[passage]
+    # group * step + place is sorted, as places are within a group.
+    step = int(place.max()) + Q + 1
+    order = group * step + place
+    shared = np.searchsorted(order, group_of * step + np.minimum(start + index.sizes[passage] - Q, step - 1), side="right")
+    shared -= np.searchsorted(order, group_of * step + start, side="left")
+    most = budgets[index.rows[passage]]
+    at = start + band * (most + 1)
+    begin = offsets[doc] + np.maximum(0, at - most)
+    stop = np.minimum(offsets[doc + 1] - 1, offsets[doc] + at + 2 * (most + 1) + index.sizes[passage] + most)
+    cost = np.empty(len(passage), np.int64)
+    for k in range(0, len(passage), 4096):
+        part = slice(k, k + 4096)
+        cost[part] = fewest_edits(index, passage[part], joined, begin[part], stop[part])
+    good = np.flatnonzero(cost <= most)
+    doc, item, cost, shared, at = doc[good], index.items[passage[good]], cost[good], shared[good], np.maximum(0, at[good])
+    order = np.lexsort((at, -shared, cost, item, doc))
+    doc, item, cost, shared, at = doc[order], item[order], cost[order], shared[order], at[order]
+    best = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])]) if len(doc) else order
+    yield from zip(*(x[best].tolist() for x in (doc, item, cost, shared, at)))
+
+
+def ranges(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... for each pair, ``many`` numbers."""
+    return np.repeat(first - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum()) if len(many) else first
 
 
 def blocks(benchmark: DataFrame) -> Iterator[Index]:
@@ -191,8 +258,10 @@ def blocks(benchmark: DataFrame) -> Iterator[Index]:
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item of which it holds a passage.
 
-    ``edits`` is the smallest edit distance over the item's passages, ``shared_qgrams`` and ``place`` (bytes into the
-    normalised text, to within the band) those of that passage. Null and empty texts hold nothing; items shorter than
+    A passage is held if it is there within ``budget`` edits and SHARED of its q-grams stand in one band: passages begin
+    at each word of an item and at its end, so a stretch of passage_bytes and a word is enough. ``edits`` is the smallest
+    edit distance over the item's passages, ``shared_qgrams`` and ``place`` (bytes into the normalised text, to within the
+    band) those of that passage. Null and empty texts hold nothing; items shorter than
     SHORTEST are no evidence. Rows are searched alone, so repeated rows give repeated rows; rows without a number are
     left out; an empty table on either side gives no rows; other columns are ignored.
     """

@@ -104,3 +104,47 @@ def test_without_rows(spark):
     assert d.contaminated(empty(spark), bench).count() == 0
     assert d.contaminated(frame(spark, corpus(5)), bench.where("false")).count() == 0
     assert d.without_leaks(frame(spark, corpus(5)), bench.where("false")).count() == len(corpus(5))
+
+
+def parts_of(text, rng):
+    """What a leak may keep of an item: verbatim middle parts, and the whole with one word in ten replaced."""
+    words = text.split()
+    for share in (0.5, 0.75, 0.9):
+        skip = int(len(words) * (1 - share) / 2)
+        yield " ".join(words[skip : len(words) - skip])
+    yield " ".join("".join(map(chr, rng.integers(97, 123, 5))) if k % 10 == 5 else w for k, w in enumerate(words))
+
+
+def test_parts_of_real_items_against_the_whole_matrix():
+    rng = np.random.default_rng(1)
+    import pyarrow.parquet as pq
+
+    items = [(r["item_id"], r["text"]) for r in pq.read_table("/root/testdata/sf0.1/benchmark.parquet").to_pylist()]
+    index = d.Index.of([(i, t.encode()) for i, t in items])
+    hosts = [t for _, t in corpus() if t and len(t) > 400]
+    data, of = [], []
+    for k, (item, text) in enumerate(items):
+        for part in parts_of(text, rng):
+            host = hosts[k % len(hosts)]
+            data.append((host[:200] + " " + part + " " + host[200:400]).encode())
+            of.append(item)
+    rows = list(d.matches(data, index))
+    found = {(k, item) for k, item, *_ in rows}
+    missed = [k for k, item in enumerate(of) if (k, item) not in found]
+    assert not missed
+    passages = index.passages
+    for k, item, cost, _, _ in rows[::97]:
+        mine = [p for p, i in zip(passages, index.items.tolist()) if i == item]
+        assert cost == min(plain_edits(p, d.normalised(data[k])) for p in mine) <= d.budget(len(mine[0]))
+
+
+def test_bit_vectors_against_the_banded_alignment():
+    rng = np.random.default_rng(2)
+    text = bytes(rng.integers(97, 101, 500, dtype=np.uint8))
+    index = d.Index.of([(1, text)])
+    region = np.frombuffer(text[::-1] + text[100:180] + b"x" + text[181:220], np.uint8)
+    begin = rng.integers(0, 400, len(index.items))
+    stop = begin + rng.integers(1, 200, len(begin))
+    got = d.fewest_edits(index, np.arange(len(begin)), region, begin, stop)
+    for p, a, b, cost in zip(index.passages, begin.tolist(), stop.tolist(), got.tolist()):
+        assert cost == plain_edits(p, region[a:b].tobytes())
