@@ -30,6 +30,10 @@ CLOSES = {
 } | {tag: {"p"} for tag in BLOCK - {"li", "dt", "dd", "tr", "td", "th", "body", "html"}}
 BARRIER = frozenset("body html table ul ol dl div article section main aside nav footer header form td th blockquote figure".split())
 LANDMARK = frozenset(("article", "main"))
+#: A subtree around landmarks stands for them if they hold so much of its text outside links.
+LANDMARK_SHARE = 0.9
+#: Landmarks beside the one of the best subtree count from this share of the smallest density on the path: teasers have less.
+BESIDE = 0.5
 #: Words of class and id names, and roles, of parts that aren't the article.
 BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar menu nav navbar"
@@ -157,9 +161,12 @@ def measured(root: Node) -> list[Node]:
 
 
 def main_parts(root: Node) -> list[Node]:
-    """The subtree with the largest density sum; its landmark if it has one, else with dense neighbours of its path.
+    """The subtree with the largest density sum, with dense neighbours of its path; whole landmarks if it is within one.
 
-    Neighbours of the path to the body count as content if their density reaches the smallest density on the path.
+    Neighbours of the path to the body count as content if their density reaches the smallest density on the path. Within
+    an article or main the outermost one is taken instead, and, if that is an article, with it the other outermost ones
+    whose density reaches half of that. A landmark that the best subtree isn't part of decides nothing. A best subtree nearly
+    all of whose text is in landmarks stands for them.
     """
     nodes = measured(root)
     if not nodes or not root.chars:
@@ -170,22 +177,36 @@ def main_parts(root: Node) -> list[Node]:
     path = [best]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
-    landmark = next((n for n in path if n.tag in LANDMARK), None)
-    if landmark is None and not any(n.tag in LANDMARK and n.chars for n in nodes):
-        inner = [n for n in path if n.tag not in ("html",)] or path
-        threshold = min(n.density for n in inner)
-        parts = {id(best)}
-        for n in path[1:]:
-            parts.update(id(x) for x in n.items if type(x) is Node and not x.dropped and x.chars and x.density >= threshold and x not in path)
-        return [n for n in nodes if id(n) in parts]
-    if landmark is None:
-        landmark = max((n for n in nodes if n.tag in LANDMARK), key=lambda n: n.total)
-    outer = landmark
-    while (up := outer.parent) is not None:
-        if up.tag in LANDMARK:
-            landmark = up
-        outer = up
-    return [landmark]
+    inner = [n for n in path if n.tag not in ("html",)] or path
+    threshold = min(n.density for n in inner)
+    on_path = [n for n in path if n.tag in LANDMARK]
+    outermost, below = outer_landmarks(root), outer_landmarks(best)
+    if on_path and on_path[-1].tag == "main":
+        return [on_path[-1]]
+    if on_path:
+        return [n for n in outermost if n is on_path[-1] or n.density >= BESIDE * threshold]
+    if sum(map(plain_chars, below)) >= LANDMARK_SHARE * max(plain_chars(best), 1):
+        return [n for n in outermost if n in below or n.density >= BESIDE * threshold]
+    parts = {id(best)}
+    for n in path[1:]:
+        parts.update(id(x) for x in n.items if type(x) is Node and not x.dropped and x.chars and x.density >= threshold and x not in path)
+    return [n for n in nodes if id(n) in parts]
+
+
+def plain_chars(node: Node) -> int:
+    return node.chars - node.link_chars
+
+
+def outer_landmarks(top: Node) -> list[Node]:
+    """The landmarks with text below ``top`` that are in no other one, in page order."""
+    found, stack = [], [top]
+    while stack:
+        node = stack.pop()
+        if node.tag in LANDMARK and node.chars:
+            found.append(node)
+        else:
+            stack.extend(x for x in reversed(node.items) if type(x) is Node and not x.dropped)
+    return found
 
 
 def blocks_of(part: Node) -> list[str]:

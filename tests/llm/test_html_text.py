@@ -52,3 +52,31 @@ def test_rows(spark):
     want = [(1, "u1", WANT, len(WANT))] * 2 + [(2, None, "", 0), (None, "u3", "", 0), (4, "u4", "", 0), (5, "u5", long, len(long))]
     assert got == sorted(want, key=repr)
     assert h.extract(df.where("false")).count() == 0
+
+
+def paragraphs(name, count=6):
+    return [f"{name} {k} tells at some length, with a number of words, what happened there on that day." for k in range(count)]
+
+
+def marked(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+def test_teaser_cards_beside_a_div_article():
+    body = paragraphs("Paragraph")
+    card = '<article class=card><h3><a href=/x>A teaser</a></h3><p>Short words.</p></article>'
+    want = " ".join(["Head line", *body])
+    for page in ("<body><div id=content><h1>Head line</h1>%s</div>%s</body>", "<body><div><div id=content><h1>Head line</h1>%s</div></div><div>%s</div></body>"):
+        assert h.main_text(page % (marked(body), card)) == want
+        assert h.main_text(page % (marked(body), card * 3)) == want
+
+
+def test_text_split_over_sibling_articles():
+    parts = [paragraphs(name) for name in ("First", "Second", "Third")]
+    want = " ".join(t for part in parts for t in part)
+    for top in ("<body>%s</body>", "<body><div>%s</div><footer>f</footer></body>", "<body><p>Short.</p>%s</body>"):
+        assert h.main_text(top % "".join(f"<article>{marked(p)}</article>" for p in parts)) == want
+        assert h.main_text(top % "".join(f"<div><article>{marked(p)}</article></div>" for p in parts)) == want
+    one = [p[0] for p in parts]
+    assert h.main_text("<body>" + "".join(f"<article>{marked([t])}</article>" for t in one) + "<div>More</div></body>") == " ".join(one)
+    assert h.main_text("<body><main>" + "".join(f"<article>{marked([t])}</article>" for t in one) + "</main><div>More</div></body>") == " ".join(one)
