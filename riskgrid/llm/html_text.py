@@ -44,36 +44,53 @@ BOILERPLATE = frozenset(
 #: These words of class and id names mark boilerplate only if no article word stands beside them.
 HEADERS = frozenset(("header", "topbar", "top", "bottom"))
 ARTICLE = frozenset("article content entry post main body story text title headline".split())
+#: Beside one of these words a boilerplate word says what a part has, lacks or offers, not what it is.
+MODIFIERS = frozenset("has have had no not non without with open opened closed ready enabled disabled allowed".split())
+#: An article beside an element dropped for its names has at least this share of the page's text; teasers have less.
+RIVAL_SHARE = 0.1
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "dropped", "chars", "link_chars", "tags", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "items", "dropped", "gone", "article", "chars", "link_chars", "tags", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Node | None, dropped: bool, gone: bool):
+        # Dropped: not to be read, perhaps for its names alone. Gone: in an element dropped for its kind, without texts.
+        self.tag, self.parent, self.dropped, self.gone = tag, parent, dropped, gone
+        self.article = tag in LANDMARK
         self.items: list[Node | str] = []
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def is_boilerplate(tag: str, attributes: list[tuple[str, str | None]], in_landmark: bool) -> bool:
+def is_hidden(tag: str, attributes: list[tuple[str, str | None]], in_landmark: bool) -> bool:
+    """Never article text: by the element's kind, or as it isn't shown."""
     if tag in DROPPED or (tag == "header" and not in_landmark):
         return True
-    if not attributes or tag in ("html", "body", "article", "main") and not any(k == "class" or k == "id" for k, _ in attributes):
+    if tag in ("html", "body", "article", "main") and not any(k == "class" or k == "id" for k, _ in attributes):
         return False
-    names: set[str] = set()
     for key, value in attributes:
-        value = value or ""
-        if key in ("class", "id", "role"):
-            names.update(w.lower() for w in _WORDS.findall(value))
-        elif key == "hidden" or key == "aria-hidden" and value == "true":
+        if key == "hidden" or key == "aria-hidden" and value == "true":
             return True
-        elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+        if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value or ""):
             return True
-    if tag in ("html", "body") or not names:
-        return False
-    return bool(names & BOILERPLATE) or bool(names & HEADERS) and not names & ARTICLE and not in_landmark
+    return False
+
+
+def judged(tag: str, attributes: list[tuple[str, str | None]], in_landmark: bool) -> tuple[bool, bool]:
+    """Whether class, id or role names a part that isn't the article, and one that is. Names don't drop an article or main."""
+    if tag in ("html", "body") or tag in LANDMARK:
+        return False, tag in LANDMARK
+    names: set[str] = set()
+    found = False
+    for key, value in attributes:
+        if key in ("class", "id", "role"):
+            for name in (value or "").split():
+                words = {w.lower() for w in _WORDS.findall(name)}
+                names |= words
+                found = found or bool(words & BOILERPLATE) and not words & MODIFIERS
+    article = bool(names & ARTICLE)
+    return found or bool(names & HEADERS) and not article and not in_landmark, article
 
 
 class TreeBuilder(HTMLParser):
@@ -81,7 +98,7 @@ class TreeBuilder(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("html", None, False)
+        self.root = self.at = Node("html", None, False, False)
         self.landmarks = 0
 
     def handle_starttag(self, tag, attrs):
@@ -94,7 +111,10 @@ class TreeBuilder(HTMLParser):
                 node = node.parent
             if node.tag in closes:
                 self._close(node)
-        node = Node(tag, self.at, self.at.dropped or is_boilerplate(tag, attrs, self.landmarks > 0))
+        gone = self.at.gone or is_hidden(tag, attrs, self.landmarks > 0)
+        node = Node(tag, self.at, gone, gone)
+        if attrs and not gone:
+            node.dropped, node.article = judged(tag, attrs, self.landmarks > 0)
         self.at.items.append(node)
         if tag not in EMPTY:
             self.at = node
@@ -125,10 +145,57 @@ class TreeBuilder(HTMLParser):
         self.at = node.parent
 
     def handle_data(self, data):
-        if not self.at.dropped:
+        if not self.at.gone:
             self.at.items.append(data)
 
 
+def keep_most(root: Node) -> None:
+    """Elements dropped for their names stay if they hold most of the page's text outside links and no article is beside.
+
+    So names never drop the page's own frame, but a long comment list beside an article does go. If no text is left, no
+    element is dropped for its names.
+    """
+    nodes, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        nodes.append(node)
+        stack.extend(x for x in reversed(node.items) if type(x) is Node and not x.gone)
+    named = [n for n in nodes if n.dropped]
+    if not named:
+        return
+    plain: dict[int, int] = {}
+    for node in reversed(nodes):
+        n = sum(len("".join(x.split())) if type(x) is str else plain.get(id(x), 0) for x in node.items)
+        plain[id(node)] = 0 if node.tag == "a" else n
+    whole = plain[id(root)]
+    live = alive(root)
+    rivals = [n for n in live if n.article and plain[id(n)] >= RIVAL_SHARE * whole]
+    for node in named:
+        if 2 * plain[id(node)] > whole:
+            around, up = set(), node.parent
+            while up is not None:
+                around.add(id(up))
+                up = up.parent
+            if all(id(n) in around for n in rivals):
+                node.dropped = False
+                more = alive(node)
+                live += more
+                rivals += [n for n in more if n.article and plain[id(n)] >= RIVAL_SHARE * whole]
+    if not any(type(x) is str and not x.isspace() for n in live for x in n.items):
+        for node in named:
+            node.dropped = False
+
+
+def alive(top: Node) -> list[Node]:
+    """``top`` and the nodes below it that aren't dropped."""
+    found, stack = [], [top]
+    while stack:
+        node = stack.pop()
+        found.append(node)
+        stack.extend(x for x in node.items if type(x) is Node and not x.dropped)
+    return found
+
+
 def measured(root: Node) -> list[Node]:
     """All nodes in page order, with counts and densities filled in."""
     nodes, stack = [], [root]
@@ -241,6 +308,7 @@ def main_text(html: str) -> str:
     builder = TreeBuilder()
     builder.feed(html)
     builder.close()
+    keep_most(builder.root)
     return " ".join(b for part in main_parts(builder.root) for b in blocks_of(part))
 
 

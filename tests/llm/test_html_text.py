@@ -80,3 +80,36 @@ def test_text_split_over_sibling_articles():
     one = [p[0] for p in parts]
     assert h.main_text("<body>" + "".join(f"<article>{marked([t])}</article>" for t in one) + "<div>More</div></body>") == " ".join(one)
     assert h.main_text("<body><main>" + "".join(f"<article>{marked([t])}</article>" for t in one) + "</main><div>More</div></body>") == " ".join(one)
+
+
+def test_names_with_a_boilerplate_word_do_not_drop_the_article():
+    body = paragraphs("Paragraph")
+    want = " ".join(body)
+    beside = "<div class=sidebar><p>Popular stories of this week.</p></div><div class='share-bar'>Share this</div>"
+    for start, end in (
+        ("<article class='post comments-open'>", "</article>"),
+        ("<main class='has-sidebar'>", "</main>"),
+        ("<article class='ad'>", "</article>"),
+        ("<div id='page' class='no-sidebar'>", "</div>"),
+        ("<div class='story social-ready'>", "</div>"),
+        ("<div class='layout--with-sidebar'><div class='hasMenu'>", "</div></div>"),
+        ("<div class='widget'><section class='overlay'>", "</section></div>"),
+        ("<main class='search'><div class='promo'>", "</div></main>"),
+    ):
+        for page in ("<body>%s</body>", "<body><nav>Home</nav>%s" + beside + "</body>", "<body><div class='alert'>Read on</div><div><h2 class=title></h2>%s</div></body>"):
+            assert h.main_text(page % (start + marked(body) + end)) == want
+    # What is dropped within stays dropped.
+    assert h.main_text("<body><div class='widget'>" + marked(body) + beside + "</div></body>") == want
+
+
+def test_long_comments_beside_an_article_go():
+    body, comments = paragraphs("Paragraph"), paragraphs("Comment", 30)
+    for start, end in (("<article>", "</article>"), ("<div id=content>", "</div>")):
+        page = f"<body><div class='no-sidebar'>{start}{marked(body)}{end}<section id=comments>{marked(comments)}</section></div></body>"
+        assert h.main_text(page) == " ".join(body)
+
+
+def test_page_of_dropped_parts_alone():
+    assert h.main_text("<body><div class=alert><p>One</p></div><div class=notice><p>Two</p></div><nav>Home</nav></body>") == "One Two"
+    assert h.main_text("<body><div class=alert> </div><nav>Home</nav><div hidden>x</div></body>") == ""
+    assert h.main_text("<div class=ad>" * 3000 + "deep" + "</div>" * 3000) == "deep"
