@@ -57,6 +57,22 @@ def stratified_split(
     return cut_by_hash(df, label, key, cuts).withColumn("split", name).drop("segment")
 
 
+def bounded_split(
+    df: DataFrame,
+    label: str = TARGET,
+    positives: int = POSITIVE_CAP,
+    negatives: int = NEGATIVE_CAP,
+    key: Sequence[str] = FEATURE_KEY,
+) -> DataFrame:
+    """``stratified_split`` of all labelled rows, of whose train rows at most so many of each class stay; one pass."""
+    cap = F.when(F.col("_group") == 1, F.lit(positives)).otherwise(F.lit(negatives))
+    train, validation = (F.floor(F.col("group_rows") * F.lit(share)) for share in (TRAIN_SHARE, VALIDATION_SHARE))
+    cut = cut_by_hash(df.where(F.col(label).isin(0, 1)), label, key, [F.least(cap, train), train, validation])
+    segment = F.col("segment")
+    name = F.when(segment == 0, "train").when(segment == 2, "val").otherwise("test")
+    return cut.where(segment != 1).withColumn("split", name).drop("segment")
+
+
 def time_split(df: DataFrame, train_end: str, val_end: str, test_end: str, date: str = "feature_date") -> DataFrame:
     """Column ``split`` by three last dates; rows after the last one are dropped."""
     day = F.col(date)

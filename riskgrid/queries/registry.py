@@ -32,10 +32,10 @@ TARGET = schemas.TARGET
 ROW_KEY = ["feature_date", "location_id", "hour"]
 DAY = "2024-01-15"
 RUN_TIME = "2024-02-01 00:00:00"
-# Labelled rows that the model queries fit on at most, of each class.
+# Labelled rows that the model queries fit on at most, of each class. q65 to q68 and q70 split a sample of that size.
 POSITIVES, NEGATIVES = 2_000, 8_000
 # For queries that need several models or any model: the default linear model and forest, and boosted
-# trees of 3 rounds. The default boosted trees (200 rounds) are fitted by q67 and q68.
+# trees of 3 rounds. The default boosted trees (200 rounds) are fitted by q67, q68 and q71.
 QUICK = [
     *training.DEFAULT_MODELS[:2],
     training.ModelSpec("xgboost", "boosted", {"maxIter": 3, "maxDepth": 4, "stepSize": 0.1}, positive_weight=5.0),
@@ -285,7 +285,8 @@ def q15_point_geometry(spark, sf_dir):
 
 @query
 def q16_model_save_load(spark, sf_dir):
-    data = training_set(feature_table(spark, sf_dir))
+    # The SQL counterpart counts the rows of a sample.
+    data = training_set(sampling.training_sample(feature_table(spark, sf_dir)))
     fitted = training.fit(data.vectors.where("split = 'train'"), QUICK[0], rows=data.rows["train"])
     path = scratch_path(spark, "model")
     models.save_model(models.TrainedModel("logistic_regression", "v1", fitted, data.names, data.categories), path)
@@ -683,7 +684,8 @@ def q64_class_weights(spark, sf_dir):
 
 
 def _train_one(spark, sf_dir, spec):
-    data = training_set(feature_table(spark, sf_dir), POSITIVES, NEGATIVES)
+    # The SQL counterpart counts the rows of all splits within these bounds.
+    data = training_set(sampling.training_sample(feature_table(spark, sf_dir), TARGET, POSITIVES, NEGATIVES))
     fitted = training.fit(data.vectors.where("split = 'train'"), spec, rows=data.rows["train"])
     return data, fitted
 
@@ -754,7 +756,7 @@ def q71_best_model(spark, sf_dir):
 @query
 def q71_train_and_compare(spark, sf_dir):
     _, report = train_models(
-        feature_table(spark, sf_dir), "v1", RUN_TIME, QUICK, positives=POSITIVES, negatives=NEGATIVES
+        feature_table(spark, sf_dir), "v1", RUN_TIME, training.DEFAULT_MODELS, positives=POSITIVES, negatives=NEGATIVES
     )
     best = best_by_test_auc(report).select(F.col("auc").alias("best")).scalar()
     return report.groupBy("split").agg(

@@ -6,6 +6,7 @@ from riskgrid.plans import endtoend
 from riskgrid.plans.score import predictions_of, score_day
 from riskgrid.plans.train import best_by_test_auc, train_models
 from riskgrid.queries import registry, views
+from riskgrid.schemas import TARGET
 from riskgrid.sources import models, scans
 
 SMALL = "/root/testdata/sf0.001"
@@ -168,3 +169,29 @@ def test_scratch_is_cleared(spark, scratch, monkeypatch):
     staged = session.stage(spark.range(3).toDF("id"), "to-clear")
     assert staged.count() == 3 and session.clear_scratch(spark)
     assert not session.clear_scratch(spark)
+
+
+def test_bounds_apply_to_the_train_split_alone(features):
+    from riskgrid.plans.train import training_set
+
+    n = {r[TARGET]: r["count"] for r in features.where(F.col(TARGET).isin(0, 1)).groupBy(TARGET).count().collect()}
+    data = training_set(features, 100, 300)
+    assert data.rows["train"] == 400
+    assert data.rows["val"] == sum(int(x * 0.85) - int(x * 0.7) for x in n.values())
+    assert data.rows["test"] == sum(x - int(x * 0.85) for x in n.values())
+    whole = training_set(features, 10**9, 10**9)
+    assert whole.rows == {**data.rows, "train": sum(int(x * 0.7) for x in n.values())}
+    of_class = {r[TARGET]: r["count"] for r in data.vectors.where("split = 'train'").groupBy(TARGET).count().collect()}
+    assert of_class == {1: 100, 0: 300}
+
+
+def test_compared_models_are_the_default_ones(spark, features, monkeypatch):
+    asked = []
+
+    def train(features, version, trained_at, specs, **bounds):
+        asked.extend(specs)
+        return train_models(features, version, trained_at, registry.QUICK[:1], **bounds)
+
+    monkeypatch.setattr(registry, "train_models", train)
+    registry.q71_train_and_compare(spark, SMALL).collect()
+    assert asked == training.DEFAULT_MODELS
