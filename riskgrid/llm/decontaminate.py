@@ -243,16 +243,21 @@ def ranges(first: np.ndarray, many: np.ndarray) -> np.ndarray:
     return np.repeat(first - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum()) if len(many) else first
 
 
-def blocks(benchmark: DataFrame) -> Iterator[Index]:
-    """Indexes of the benchmark in blocks of a bounded number of bytes, read by the driver one after another."""
+def blocks(benchmark: DataFrame, numberless: bool = False) -> Iterator[Index]:
+    """Indexes of the benchmark in blocks of a bounded number of bytes, read by the driver one after another.
+
+    Items without a number are left out, or, with ``numberless``, dealt out by their texts and numbered -1.
+    """
     rows = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
-    ).where(F.col("item_id").isNotNull())
+    )
+    rows = rows if numberless else rows.where(F.col("item_id").isNotNull())
+    deal = F.xxhash64(F.coalesce("item_id", F.xxhash64("text")))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // BLOCK_BYTES)
     for k in range(n):
-        part = rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).orderBy("item_id").collect()
-        yield Index.of([(r["item_id"], bytes(r["text"])) for r in part])
+        part = rows.where(F.pmod(deal, F.lit(n)) == k).orderBy("item_id").collect()
+        yield Index.of([(-1 if r["item_id"] is None else r["item_id"], bytes(r["text"])) for r in part])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -286,9 +291,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that hold no passage of the benchmark. Null texts stay."""
+    """The rows of ``docs``, all columns, that hold no passage of the benchmark, numbered or not. Null texts stay."""
     session = docs.sparkSession
-    for index in blocks(benchmark):
+    for index in blocks(benchmark, numberless=True):
         shared = session.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -148,3 +148,13 @@ def test_bit_vectors_against_the_banded_alignment():
     got = d.fewest_edits(index, np.arange(len(begin)), region, begin, stop)
     for p, a, b, cost in zip(index.passages, begin.tolist(), stop.tolist(), got.tolist()):
         assert cost == plain_edits(p, region[a:b].tobytes())
+
+
+def test_items_without_a_number_remove_documents(spark, monkeypatch):
+    item = "a passage of a benchmark that nobody has numbered, though it is as long as any other one"
+    bench = spark.createDataFrame([(None, item), (None, item[::-1]), (3, "q" * 90)], "item_id long, text string")
+    df = frame(spark, [(1, "before " + item + " after"), (2, "nothing of the sort in this one"), (4, item[::-1])], clashing=False)
+    for size in (d.BLOCK_BYTES, 60):
+        monkeypatch.setattr(d, "BLOCK_BYTES", size)
+        assert [r.doc_id for r in d.without_leaks(df, bench).collect()] == [2]
+        assert d.contaminated(df, bench).count() == 0
