@@ -54,10 +54,15 @@ def _own_scratch(spark: SparkSession) -> str:
     return f"{scratch_root(spark)}/riskgrid/{spark.sparkContext.applicationId}"
 
 
+def delete(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder with all below it. Frames that read it can't be used afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_scratch(spark: SparkSession) -> bool:
     """Delete what this application has staged. Frames that read it can't be used afterwards."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return delete(spark, _own_scratch(spark))
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
