@@ -8,8 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskgrid.llm import chunks, decontaminate, html_text, jaccard, katz, neighbours, packing, pii, quality_rules, secret_scan
+from riskgrid.llm import (
+    chunks,
+    decontaminate,
+    html_text,
+    jaccard,
+    katz,
+    neighbours,
+    packing,
+    periodic,
+    pii,
+    quality_rules,
+    secret_scan,
+    sharding,
+    spelling,
+)
 from riskgrid.llm.common import id_remainder, table
+from riskgrid.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +73,18 @@ def op10_jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digests(sharding.shuffle(table(spark, sf_dir, "documents"), scratch_path(spark, "shards")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.periodic_runs(table(spark, sf_dir, "documents"), periodic.made_periodic))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"), spelling.misspelt)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -71,6 +98,9 @@ QUERIES: dict[str, Query] = {
         op8_packing,
         op9_decontaminate,
         op10_jaccard_classes,
+        op11_sharding,
+        op12_periodic_runs,
+        op13_spelling_variants,
     )
 }
 ORACLES: dict[str, str] = {

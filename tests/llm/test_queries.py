@@ -17,4 +17,4 @@ def test_queries_with_sql_equal_it(spark):
 
 def test_one_query_of_each_operator():
     numbers = sorted(int(name.split("_")[0][2:]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
