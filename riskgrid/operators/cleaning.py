@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskgrid import schemas
@@ -89,6 +90,23 @@ def clean(df: DataFrame) -> DataFrame:
     return reduce(lambda frame, step: step(frame), steps, df)
 
 
+def clean_counted(df: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``clean``, and a function that tells what the first job over the result has counted on its way.
+
+    The counts come with that job, not from another pass: raw rows, rows kept, rows removed. Asked before a job has
+    run over all rows, it waits for one.
+    """
+    read, kept = Observation("rows read"), Observation("rows kept")
+    rows = F.count(F.lit(1)).alias("rows")
+    cleaned = clean(df.observe(read, rows)).observe(kept, rows)
+
+    def counts() -> dict[str, int]:
+        n, left = read.get["rows"], kept.get["rows"]
+        return {"rows_in": n, "rows_kept": left, "rows_removed": n - left}
+
+    return cleaned, counts
+
+
 def to_table_columns(df: DataFrame) -> DataFrame:
     """Keep the table's columns that exist, NaN and missing-time texts as null."""
 

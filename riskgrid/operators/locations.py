@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskgrid.functions.dates import hour_index
 from riskgrid.functions.geo import KEY, cell, degree_key, key_degrees, with_location_key
+from riskgrid.operators import kmeans
 from riskgrid.operators.ranking import number_by_first_seen, text_hash
+from riskgrid.session import stage
 
 # Default clusters, restarts and seed of the k-means method, size of a location sample.
 CLUSTERS = 50
@@ -84,26 +84,31 @@ def cell_clusters(accidents: DataFrame, size: float = 1.0) -> DataFrame:
     return clusters_of_cells(cell_sightings(accidents, size))
 
 
+def staged_positions(accidents: DataFrame) -> DataFrame:
+    """Staged distinct positions of each place with their events and times; events without a position are left out."""
+    events = accidents.where("latitude is not null and longitude is not null")
+    return stage(_sightings(events, F.col("latitude"), F.col("longitude")), "positions")
+
+
 def kmeans_clusters(
     accidents: DataFrame, clusters: int = CLUSTERS, seed: int = SEED, restarts: int = RESTARTS, max_iter: int = 300
 ) -> DataFrame:
-    """Place -> k-means cluster, best of several seeded restarts.
+    """Place -> k-means cluster, best of several seeded restarts that share their passes."""
+    return kmeans_with_costs(accidents, clusters, seed, restarts, max_iter)[0]
+
+
+def kmeans_with_costs(
+    accidents: DataFrame, clusters: int = CLUSTERS, seed: int = SEED, restarts: int = RESTARTS, max_iter: int = 300
+) -> tuple[DataFrame, kmeans.Clusters, DataFrame]:
+    """``kmeans_clusters``, what the fit found, and the positions with their clusters.
 
     Fits on distinct positions weighted by their events, which has the same optimum as fitting on
-    every event and lets one busy position count as one row.
+    every event and lets one busy position count as one row. Raw events are aggregated once.
     """
-    positions = _sightings(accidents, F.col("latitude"), F.col("longitude"))
-    positions = VectorAssembler(inputCols=["latitude", "longitude"], outputCol="position").transform(positions)
-    points = positions.select("position", F.col("events").cast("double").alias("events")).persist()
-    try:
-        estimator = KMeans(featuresCol="position", predictionCol="cluster_id", weightCol="events")
-        models = [
-            estimator.setK(clusters).setSeed(seed + i).setMaxIter(max_iter).fit(points) for i in range(restarts)
-        ]
-    finally:
-        points.unpersist()
-    best = min(models, key=lambda model: model.summary.trainingCost)
-    return last_cluster_by_location(best.transform(positions))
+    positions = staged_positions(accidents)
+    found = kmeans.fit(positions.select("latitude", "longitude", "events"), clusters, seed, restarts, max_iter)
+    assigned = kmeans.assign(positions, found.centres)
+    return last_cluster_by_location(assigned), found, assigned
 
 
 def with_cluster(df: DataFrame, cluster_map: DataFrame) -> DataFrame:

@@ -4,70 +4,77 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# The sketch places a value within 1e-4 of its rank; the bracket reaches ten times further.
-_SKETCH_ACCURACY = 10_000
-_BRACKET = 1e-3
-# Slices of equal width that the bracket is cut into.
-_SLICES = 4096
+# Slices of the first round: so many for each doubling of a value, numbered from the smallest double's.
+_PER_DOUBLING = 1 << 10
+_DOUBLINGS = 1080
+_BEYOND = 1 << 22
+# Slices of equal width of the second round. What is left in one then has at most 2^(53 - 10 - 21) different values.
+_SLICES = 1 << 21
+
+
+def _magnitude(value: Column) -> Column:
+    """A number that never falls as the value grows: about ``_PER_DOUBLING`` of them for each doubling."""
+    step = F.floor((F.log2(F.abs(value)) + _DOUBLINGS) * _PER_DOUBLING) + 1
+    return (
+        F.when(F.isnan(value), 2 * _BEYOND)
+        .when(value == float("inf"), _BEYOND)
+        .when(value == float("-inf"), -_BEYOND)
+        .when(value > 0, step)
+        .when(value < 0, -step)
+        .otherwise(0)
+    )
+
+
+def _holding(counts: DataFrame, within: Sequence[str], ranks: Sequence[str], order: str) -> DataFrame:
+    """The slices that hold one of the ranks, and the ranks counted from the slice's first row on (null: not in it)."""
+    upto = F.sum("_count").over(W.partitionBy(*within).orderBy(order).rowsBetween(W.unboundedPreceding, 0))
+    placed = counts.withColumn("_before", upto - F.col("_count"))
+    inside = {r: F.when(F.col(r).between(F.col("_before"), F.col("_before") + F.col("_count") - 1), F.col(r) - F.col("_before")) for r in ranks}
+    return placed.withColumns(inside).where(" or ".join(f"{r} is not null" for r in ranks)).drop("_before", "_count")
 
 
 def exact_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Interpolated median of every column per key, nulls skipped; one row if ``keys`` is empty.
 
-    For few but large groups. ``percentile`` would bring all distinct values of a group to one task.
-    Here a mergeable sketch brackets the middle. Values below the bracket are only counted, values
-    in it are counted per value, and those counts per slice of the bracket. Only the slices that
-    hold the middle are put in order (all of the bracket's values at worst, if they lie close together
-    beside a wide gap). The result is exact.
-    Without keys a bracket and at most two slices per column are broadcast; with keys the joins are
-    left to Spark, which sees how many groups there are.
+    For few but large groups. ``percentile`` would bring all distinct values of a group to one task. Here values are
+    counted per slice, and only the slices that hold the two middle ranks are looked into: first slices by magnitude,
+    then slices of equal width of the values found there, then single values. The slices depend on the
+    values' order alone, so whatever the distribution, a task orders at most 2^22 slices or values of a group;
+    rows are only counted, in the map tasks already. The result is exact.
+    Without keys at most two slices per column are broadcast; with keys the joins are left to Spark, which sees
+    how many groups there are.
     """
     group = [*keys, "_measure"]
     few = (lambda df: df) if keys else F.broadcast
-    pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
+    pairs = ", ".join(f"{i}, cast(`{c}` as double)" for i, c in enumerate(columns))
     values = df.select(*keys, F.expr(f"stack({len(columns)}, {pairs}) as (_measure, _value)"))
     values = values.where(F.col("_value").isNotNull())
+    found = [F.count(F.lit(1)).alias("_count"), F.min("_value").alias("_low"), F.max("_value").alias("_high")]
+    ranks = ["_first", "_second"]
 
-    ends = F.percentile_approx("_value", [0.5 - _BRACKET, 0.5 + _BRACKET], _SKETCH_ACCURACY)
-    brackets = values.groupBy(*group).agg(ends.alias("_ends"), F.count(F.lit(1)).alias("_rows"))
-    brackets = brackets.select(
-        *group,
-        F.col("_ends")[0].alias("_from"),
-        F.col("_ends")[1].alias("_to"),
-        # Ranks, from 0, of the two middle values.
-        F.floor((F.col("_rows") - 1) / 2).alias("_first_middle"),
-        F.floor(F.col("_rows") / 2).alias("_second_middle"),
-    )
-    value, start, end = F.col("_value"), F.col("_from"), F.col("_to")
-    inside = values.join(few(brackets), group).where(value <= end)
-    # Values below the bracket share the null value and slice -1.
-    width = F.coalesce(F.try_divide(value - start, end - start), F.lit(0.0)) * _SLICES
-    counts = inside.withColumns(
-        {
-            "_slice": F.when(value < start, -1).otherwise(F.floor(width)),
-            "_value": F.when(value >= start, value),
-        }
-    )
-    middles = ["_first_middle", "_second_middle"]
-    counts = counts.groupBy(*group, *middles, "_slice", "_value").agg(F.count(F.lit(1)).alias("_count"))
-
-    earlier = W.partitionBy(*group).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    slices = counts.groupBy(*group, *middles, "_slice").agg(F.sum("_count").alias("_size"))
-    slices = slices.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
-    after = F.col("_before") + F.col("_size")
-    holds = [(F.col("_before") <= F.col(m)) & (F.col(m) < after) for m in middles]
-    slices = slices.where(holds[0] | holds[1]).select(*group, "_slice", "_before")
-
-    within = W.partitionBy(*group, "_slice").orderBy("_value").rowsBetween(W.unboundedPreceding, 0)
-    near = counts.join(few(slices), [*group, "_slice"])
-    near = near.withColumn("_upto", F.col("_before") + F.sum("_count").over(within))
-    first, second = (F.min(F.when(F.col("_upto") > F.col(m), value)) for m in middles)
-    medians = near.groupBy(*group).agg(((first + second) / 2).alias("_median"))
-    spread = [F.max(F.when(F.col("_measure") == c, F.col("_median"))).alias(c) for c in columns]
+    slices = values.groupBy(*group, _magnitude(F.col("_value")).alias("_slice")).agg(*found)
+    rows = F.sum("_count").over(W.partitionBy(*group))
+    # Ranks, from 0, of the two middle values.
+    slices = slices.withColumns({"_first": F.floor((rows - 1) / 2), "_second": F.floor(rows / 2)})
+    held = _holding(slices, group, ranks, "_slice").drop("_slice")
+
+    limits = [*group, "_from", "_to"]
+    for last in (False, True):
+        held = held.withColumnsRenamed({"_low": "_from", "_high": "_to"})
+        near = values.join(few(held), group).where("_value between _from and _to")
+        width = F.try_divide(F.col("_value") - F.col("_from"), F.col("_to") - F.col("_from"))
+        # All of one value, or of values without a distance, are one slice.
+        slice = F.col("_value") if last else F.floor(F.coalesce(F.nanvl(width, F.lit(0.0)), F.lit(0.0)) * _SLICES)
+        slices = near.groupBy(*limits, *ranks, slice.alias("_slice")).agg(*found)
+        held = _holding(slices, limits, ranks, "_slice").drop("_slice", "_from", "_to")
+
+    middle = lambda rank: F.max(F.when(F.col(rank).isNotNull(), F.col("_low")))
+    medians = held.groupBy(*group).agg(((middle("_first") + middle("_second")) / 2).alias("_median"))
+    spread = [F.max(F.when(F.col("_measure") == i, F.col("_median"))).alias(c) for i, c in enumerate(columns)]
     return medians.groupBy(*keys).agg(*spread)
 
 

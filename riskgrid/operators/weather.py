@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -30,18 +32,50 @@ def hour_counts(accidents: DataFrame) -> DataFrame:
 def weather_by_hour(accidents: DataFrame) -> DataFrame:
     """Event count, exact medians and most frequent condition per place and hour.
 
-    One route for every place-hour. Events are first counted per value, in the map tasks already, so
-    what is sent grows with the distinct values of a place-hour and not with its events. Medians are
-    read off running counts: one measure of one place-hour is a window partition, which can spill.
+    Two levels, the same plan for any data. First one aggregate per place-hour, combined in the map tasks: how many
+    values each measure has, the smallest and the largest. They settle every place-hour whose measures
+    have at most two values or a single one repeated. Events of the others are counted per value
+    (``_by_value``), so what is sent grows with the distinct values of a place-hour and not with its events.
     """
-    events = with_place_hour(accidents)
-    measures = [f"'{c}', cast(`{c}` as double), cast(null as string)" for c in WEATHER_COLUMNS]
-    pairs = ", ".join([*measures, "'_condition', cast(null as double), weather_condition"])
-    long = events.select(*PLACE_HOUR, F.expr(f"stack({len(measures) + 1}, {pairs}) as (_measure, _value, _text)"))
-    is_condition = F.col("_measure") == "_condition"
+    events = with_place_hour(accidents).select(
+        *PLACE_HOUR, *[F.col(c).cast("double").alias(c) for c in WEATHER_COLUMNS], "weather_condition"
+    )
+    seen = [*WEATHER_COLUMNS, "weather_condition"]
+    ends = [f(c).alias(f"_{name}_{c}") for c in seen for name, f in (("n", F.count), ("low", F.min), ("high", F.max))]
+    first = events.groupBy(*PLACE_HOUR).agg(F.count(F.lit(1)).alias("event_count"), *ends)
+    # Null ends (no value) settle a measure too.
+    mixed = [f"(_n_{c} > 2 and _low_{c} < _high_{c})" for c in seen]
+    is_open = F.expr(f"event_count > 2 and coalesce({' or '.join(mixed)}, false)")
+    settled = first.where(~is_open).select(
+        *PLACE_HOUR,
+        "event_count",
+        *[((F.col(f"_low_{c}") + F.col(f"_high_{c}")) / 2).alias(c) for c in WEATHER_COLUMNS],
+        F.col("_low_weather_condition").alias("weather_condition"),
+    )
+
+    # The digest is a key of the join but not of what follows: a hot place-hour can be split in the join, and its
+    # events are counted before they are sent on.
+    digest = F.xxhash64(*PLACE_HOUR)
+    rest = first.where(is_open).select(digest.alias("_digest"), *[F.col(c).alias(f"_{c}") for c in PLACE_HOUR])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PLACE_HOUR]
+    opened = events.withColumn("_of", digest)
+    opened = opened.join(rest, reduce(and_, same, F.col("_of") == F.col("_digest")), "left_semi").drop("_of")
+    return settled.unionByName(_by_value(opened))
+
+
+def _by_value(events: DataFrame) -> DataFrame:
+    """Weather per place-hour, by counts per value. Medians are read off running counts: one measure of one place-hour is
+    a window partition, which can spill."""
+    condition = len(WEATHER_COLUMNS)
+    measures = [f"{i}, `{c}`, cast(null as string)" for i, c in enumerate(WEATHER_COLUMNS)]
+    pairs = ", ".join([*measures, f"{condition}, cast(null as double), weather_condition"])
+    long = events.select(*PLACE_HOUR, F.expr(f"stack({condition + 1}, {pairs}) as (_measure, _value, _text)"))
+    is_condition = F.col("_measure") == condition
     counts = long.where(is_condition | F.col("_value").isNotNull())
     counts = counts.groupBy(*PLACE_HOUR, "_measure", "_value", "_text").agg(F.count(F.lit(1)).alias("_count"))
 
+    # One exchange by place-hour serves both windows and the aggregate after them.
+    counts = counts.repartition(*PLACE_HOUR)
     values = W.partitionBy(*PLACE_HOUR, "_measure")
     upto = F.sum("_count").over(values.orderBy("_value", "_text").rowsBetween(W.unboundedPreceding, 0))
     placed = counts.withColumns({"_upto": upto, "_rows": F.sum("_count").over(values)})
@@ -49,11 +83,11 @@ def weather_by_hour(accidents: DataFrame) -> DataFrame:
     middles = [F.floor((F.col("_rows") - 1) / 2), F.floor(F.col("_rows") / 2)]
     before = F.col("_upto") - F.col("_count")
     holds = [(before <= m) & (m < F.col("_upto")) for m in middles]
-    middle = lambda c, h: F.max(F.when((F.col("_measure") == c) & h, F.col("_value")))
+    middle = lambda i, h: F.max(F.when((F.col("_measure") == i) & h, F.col("_value")))
     commonest = F.when(is_condition & F.col("_text").isNotNull(), F.struct((-F.col("_count")).alias("rank"), "_text"))
     return placed.where(is_condition | holds[0] | holds[1]).groupBy(*PLACE_HOUR).agg(
         F.sum(F.when(is_condition, F.col("_count"))).alias("event_count"),
-        *[((middle(c, holds[0]) + middle(c, holds[1])) / 2).alias(c) for c in WEATHER_COLUMNS],
+        *[((middle(i, holds[0]) + middle(i, holds[1])) / 2).alias(c) for i, c in enumerate(WEATHER_COLUMNS)],
         F.min(commonest)["_text"].alias("weather_condition"),
     )
 

@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from riskgrid import schemas
 from riskgrid.functions.risk import HIGH_RISK, MEDIUM_RISK
 from riskgrid.operators.calendar import DEFAULT_START, build_calendar, date_bounds
-from riskgrid.operators.cleaning import clean, to_table_columns
+from riskgrid.operators.cleaning import clean_counted, to_table_columns
 from riskgrid.operators.sampling import NEGATIVE_CAP, POSITIVE_CAP
 from riskgrid.operators.training import DEFAULT_MODELS, ModelSpec
 from riskgrid.plans.features import build_features
 from riskgrid.plans.score import score_day
 from riskgrid.plans.train import train_models
-from riskgrid.sources.models import load_model
+from riskgrid.sources.models import load_recorded
 from riskgrid.sources.scans import csv_events, parquet_table
 from riskgrid.sources.sinks import (
     first_by_key,
@@ -45,6 +45,8 @@ class Project:
     calendar_start: str = DEFAULT_START
     calendar_end: str | None = None
     model_name: str = "xgboost"
+    # The version to predict with; None: the one trained last.
+    model_version: str | None = None
     specs: Sequence[ModelSpec] = tuple(DEFAULT_MODELS)
     write_policy: str = "append"
     output_format: str = "csv"
@@ -60,13 +62,19 @@ class Project:
         return f"{self.root}/{table}"
 
 
-def ingest(spark: SparkSession, project: Project) -> None:
-    """Clean the raw files into the event table and load the calendar."""
-    events = with_point(to_table_columns(clean(csv_events(spark, project.raw_path))))
+def ingest(spark: SparkSession, project: Project) -> dict[str, int]:
+    """Clean the raw files into the event table and load the calendar.
+
+    Returns how many raw rows there were, how many were kept and how many the cleaning removed, counted while the event
+    table was written (zeros if the policy left the table alone): the raw files are read once.
+    """
+    cleaned, counts = clean_counted(csv_events(spark, project.raw_path))
+    events = with_point(to_table_columns(cleaned))
+    written = True
     if project.write_policy == "append":
         insert_ignore(events, project.path("accidents"))
     else:
-        write_table(first_by_key(events), project.path("accidents"), project.write_policy)
+        written = write_table(first_by_key(events), project.path("accidents"), project.write_policy)
     stored = parquet_table(spark, project.path("accidents"), schemas.ACCIDENTS)
     seen = stored.agg(F.to_date(F.min("timestamp")), F.to_date(F.max("timestamp"))).first()
     asked = [dt.date.fromisoformat(d) for d in (project.calendar_start, project.calendar_end or project.prediction_date)]
@@ -74,6 +82,7 @@ def ingest(spark: SparkSession, project: Project) -> None:
     first, last = min([asked[0], *seen[:1]] if seen[0] else asked[:1]), max([asked[1], *seen[1:]] if seen[1] else asked[1:])
     days = build_calendar(date_bounds(spark, first.isoformat(), last.isoformat()))
     truncate_and_load(days, project.path("calendar"))
+    return counts() if written else dict.fromkeys(("rows_in", "rows_kept", "rows_removed"), 0)
 
 
 def build(spark: SparkSession, project: Project) -> None:
@@ -99,8 +108,9 @@ def train(spark: SparkSession, project: Project) -> DataFrame:
 
 
 def predict(spark: SparkSession, project: Project) -> DataFrame:
-    """Score the prediction date with the chosen stored model; returns the highest-risk zones."""
-    trained = load_model(spark, f"{project.path('models')}/{project.model_name}")
+    """Score the prediction date with the stored model that the metadata names; returns the highest-risk zones."""
+    metadata = parquet_table(spark, project.path("model_metadata"), schemas.MODEL_METADATA)
+    trained = load_recorded(spark, metadata, project.model_name, project.model_version)
     features = parquet_table(spark, project.path("features_daily"))
     return score_day(
         features, trained, project.prediction_date, project.path("predictions"),

@@ -596,10 +596,10 @@ _TEXTS: dict[str, str] = {
 }
 
 _FITTED = f"""
-    select split, cast(sum(case split when 'train' then a when 'val' then b - a else n - b end) as bigint) as rows,
+    select split, cast(sum(case split when 'train' then least(a, cap) when 'val' then b - a else n - b end) as bigint) as rows,
            0::bigint as bad_scores, true as auc_above_half
-    from (select floor(n * 0.70e0) as a, floor(n * 0.85e0) as b, n
-          from (select least(count(*), case when {_LABEL} = 1 then 2000 else 8000 end) as n
+    from (select floor(n * 0.70e0) as a, floor(n * 0.85e0) as b, n, cap
+          from (select count(*) as n, case when {_LABEL} = 1 then 2000 else 8000 end as cap
                 from features group by {_LABEL})),
          (select unnest(['train', 'val', 'test']) as split)
     group by split"""
@@ -608,7 +608,9 @@ _FACTS = "0::bigint as wrong_category, 0::bigint as bad_scores, 0::bigint as rep
 # Queries on fitted models return what must hold for any fit.
 _TEXTS |= {
     "q37_kmeans_clusters": """
-        select count(*) as rows, count(*) as places, 0::bigint as out_of_range, true as several_clusters from places""",
+        select count(*) as rows, count(*) as places, 0::bigint as out_of_range, true as several_clusters,
+               true as cost_of_best_restart, 10 as restarts
+        from places""",
     "q65_logistic_regression": _FITTED,
     "q66_random_forest": _FITTED,
     "q67_boosted_trees_weighted": _FITTED,
@@ -627,7 +629,7 @@ _TEXTS |= {
     "q86_end_to_end_run": f"""
         select {_DAY} as prediction_date, count(distinct (latitude, longitude)) * 24 as rows, {_FACTS},
                count(*) as events, date_diff('day', min("timestamp")::date, max("timestamp")::date) + 1 as grid_days,
-               0::bigint as null_calendar_rows, 1::bigint as models
+               0::bigint as null_calendar_rows, 4::bigint as models
         from cleaned""",
     "q92_cross_validation": "select unnest([0e0, 0.1e0]) as reg_param, true as auc_above_half",
 }

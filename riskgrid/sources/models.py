@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskgrid.operators.scoring import latest_metadata
+
 
 @dataclass(frozen=True)
 class TrainedModel:
@@ -18,6 +20,24 @@ class TrainedModel:
     categories: list[str]
 
 
+def version_path(root: str, name: str, version: str) -> str:
+    """The folder of one version of a model: versions lie side by side."""
+    return f"{root}/{name}/{version}"
+
+
+def load_recorded(spark: SparkSession, metadata: DataFrame, name: str, version: str | None = None) -> TrainedModel:
+    """The model that the metadata records under ``name``: ``version``, or the one trained last.
+
+    Name, version and features are those of the metadata row; a model or version that was never recorded is an error.
+    """
+    rows = metadata if version is None else metadata.where(F.col("model_version") == version)
+    found = latest_metadata(rows, name).select("model_version", "model_path", "features_used").first()
+    if found is None or found.model_path is None:
+        raise ValueError(f"no stored model {name!r}" + ("" if version is None else f" of version {version!r}"))
+    stored = load_model(spark, found.model_path)
+    return replace(stored, name=name, version=found.model_version, features=list(found.features_used or stored.features))
+
+
 def save_model(trained: TrainedModel, path: str) -> None:
     """Write the model and its columns, replacing an older copy."""
     spark = SparkSession.active()

@@ -16,6 +16,8 @@ from riskgrid.functions.geo import point
 # Answers to "the target already has rows".
 WRITE_POLICIES = ["append", "replace", "cancel", "fail"]
 
+PLACE_FILTER = {"parquet.bloom.filter.enabled#location_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     try:
@@ -54,10 +56,10 @@ def insert_ignore(incoming: DataFrame, path: str, key: str = "accident_id", orde
     new_rows(incoming, existing, key, order).write.mode("append").parquet(path)
 
 
-def write_table(df: DataFrame, path: str, policy: str = "append", partition_by: Sequence[str] = ()) -> None:
+def write_table(df: DataFrame, path: str, policy: str = "append", partition_by: Sequence[str] = ()) -> bool:
     """Write under a policy for a target that already has rows: append, replace, cancel or fail.
 
-    A missing or empty target is written under any policy.
+    A missing or empty target is written under any policy. Tells whether it wrote.
     """
     if policy not in WRITE_POLICIES:
         raise ValueError(f"policy must be one of {sorted(WRITE_POLICIES)}, not {policy!r}")
@@ -65,9 +67,10 @@ def write_table(df: DataFrame, path: str, policy: str = "append", partition_by:
     if existing is not None and not existing.isEmpty():
         if policy == "fail":
             raise FileExistsError(f"{path} already has rows")
-        return
+        return False
     writer = _by_partition(df, partition_by).write.mode("overwrite" if policy == "replace" else "append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return True
 
 
 def truncate(spark: SparkSession, path: str) -> None:
@@ -109,9 +112,13 @@ def write_features(features: DataFrame, path: str, mode: str = "overwrite") -> N
 
 
 def replace_days(predictions: DataFrame, path: str, column: str = "prediction_date") -> None:
-    """Replace the days present in ``predictions``; other days stay. An empty frame changes nothing."""
+    """Replace the days present in ``predictions``; other days stay. An empty frame changes nothing.
+
+    Rows lie by place, and every row group has a Bloom filter of its places: looking up one place over all days reads
+    only the row groups that hold it.
+    """
     rows = _by_partition(predictions, [column], ["location_id"])
-    writer = rows.write.mode("overwrite").partitionBy(column)
+    writer = rows.write.mode("overwrite").partitionBy(column).options(**PLACE_FILTER)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 

@@ -53,7 +53,7 @@ def test_metadata_rows(spark, trained):
 def test_saved_model_scores_the_same(spark, features, trained):
     root, found, _, _ = trained
     for name, original in found.items():
-        loaded = models.load_model(spark, f"{root}/models/{name}")
+        loaded = models.load_model(spark, f"{root}/models/{name}/v1")
         assert (loaded.features, loaded.categories) == (original.features, original.categories)
         a = predictions_of(features, original).agg(F.sum("risk_score"), F.min("risk_score"), F.max("risk_score")).first()
         b = predictions_of(features, loaded).agg(F.sum("risk_score")).first()
@@ -93,7 +93,7 @@ def test_feature_importance(spark, trained):
         assert sorted(r.feature for r in rows) == sorted(model.features)
         values = [r.importance for r in rows]
         assert values == sorted(values, reverse=True) and sum(values) == pytest.approx(1.0)
-        stored = spark.read.option("header", True).csv(f"{root}/models/{name}/feature_importance").collect()
+        stored = spark.read.option("header", True).csv(f"{root}/models/{name}/v1/feature_importance").collect()
         assert [r.feature for r in stored] == [r.feature for r in rows]
 
 
@@ -145,6 +145,42 @@ def test_end_to_end_steps(spark, scratch):
         endtoend.run(spark, project, "deploy")
 
 
+def test_newest_or_named_version_is_scored(spark, features, scratch):
+    root, table = f"{scratch}/models", f"{scratch}/metadata"
+    trained = {}
+    for version, when, rate in (("v1", "2024-02-01", 0.1), ("v3", "2024-02-03", 0.5), ("v2", "2024-02-02", 0.3)):
+        spec = training.ModelSpec("lightgbm", "grown_boosted", {"trees": 2, "max_depth": 3, "rate": rate})
+        trained[version], _ = train_models(features, version, when, [spec], root, table, 500, 1000)
+    metadata = scans.parquet_table(spark, table)
+    sums = {}
+    for asked, version in ((None, "v3"), ("v1", "v1"), ("v2", "v2")):
+        loaded = models.load_recorded(spark, metadata, "lightgbm", asked)
+        assert loaded.version == version
+        rows = predictions_of(features, loaded).agg(F.sum("risk_score"), F.min("model_version"), F.max("model_version")).first()
+        want = predictions_of(features, trained[version]["lightgbm"]).agg(F.sum("risk_score")).first()
+        assert rows[0] == pytest.approx(want[0]) and rows[1] == rows[2] == version
+        sums[version] = rows[0]
+    assert len(set(sums.values())) == 3
+    for name, version in (("lightgbm", "v9"), ("xgboost", None)):
+        with pytest.raises(ValueError, match="no stored model"):
+            models.load_recorded(spark, metadata, name, version)
+
+
+def test_ingestion_counts_what_it_removed(spark, scratch):
+    """The counts of another pass, seen while the table was written; later runs of a policy that writes nothing see none."""
+    from riskgrid.operators.cleaning import cleaning_summary
+
+    raw = views.raw(spark, SMALL)
+    bad = raw.limit(7).withColumn("Start_Lat", F.lit("95"))
+    raw.unionByName(bad).write.option("header", True).csv(f"{scratch}/raw")
+    project = endtoend.Project(scratch, f"{scratch}/raw", "2024-01-15", "v1", "2024-02-01", write_policy="cancel")
+    counts = endtoend.ingest(spark, project)
+    summary = cleaning_summary(scans.csv_events(spark, f"{scratch}/raw")).first()
+    assert (counts["rows_in"], counts["rows_kept"]) == (summary.rows_in, summary.rows_kept)
+    assert counts["rows_removed"] == summary.rows_in - summary.rows_kept >= 7
+    assert set(endtoend.ingest(spark, project).values()) == {0}
+
+
 def test_calendar_covers_all_events_by_default(spark, scratch):
     views.raw(spark, SMALL).write.option("header", True).csv(f"{scratch}/raw")
     project = endtoend.Project(
@@ -194,4 +230,7 @@ def test_compared_models_are_the_default_ones(spark, features, monkeypatch):
 
     monkeypatch.setattr(registry, "train_models", train)
     registry.q71_train_and_compare(spark, SMALL).collect()
-    assert asked == training.DEFAULT_MODELS
+    # All settings but the number of boosted trees.
+    free = lambda spec: (spec.name, spec.family, spec.positive_weight, {**spec.params, "trees": 0})
+    assert list(map(free, asked)) == list(map(free, training.DEFAULT_MODELS))
+    assert asked[:2] == training.DEFAULT_MODELS[:2]

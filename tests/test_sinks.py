@@ -94,6 +94,29 @@ def test_replace_days(spark, scratch):
     assert [(r.prediction_hour, r.location_id) for r in got] == [(0, "x"), (5, "y")]
 
 
+def rows_scanned(df):
+    """Rows that the file scan gave out, after row groups were skipped."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_place_is_found_without_reading_other_row_groups(spark, scratch):
+    day = predictions(spark, ("2024-01-01", 0, "x", 0.9, "v1"))
+    places = F.explode(F.sequence(F.lit(0), F.lit(1998), F.lit(2)))
+    many = day.withColumn("location_id", F.format_string("place%04d", places))
+    sinks.replace_days(many, scratch)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stored = scans.parquet_table(spark, scratch)
+        # Between the smallest and the largest place, so minimum and maximum don't tell: the Bloom filter does.
+        absent, there = (stored.where(F.col("location_id") == p).select("prediction_hour") for p in ("place0501", "place0500"))
+        assert rows_scanned(there) == 1000 and rows_scanned(absent) == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 @pytest.mark.parametrize("kind", ["csv", "parquet"])
 def test_prediction_files(spark, scratch, kind):
     sinks.write_prediction_files(predictions(spark, ("2024-01-01", 0, "x", 0.9, "v1")), scratch, kind)

@@ -39,6 +39,31 @@ def test_exact_medians_of_skewed_groups(spark, seed):
     assert (whole.a, whole.b) == (median([r[1] for r in rows]), median([r[2] for r in rows]))
 
 
+def test_medians_beside_a_gap_stay_bounded(spark):
+    """Values that lie close together beside a wide gap: slices shrink all the same, and no window is large."""
+    n = 40_000
+    near = [1.0 + i * 2.0**-52 for i in range(n)]
+    wide = [10.0 ** (i % 300) for i in range(n // 2 - 7)]
+    tiny = [5e-324 * i for i in range(n // 2 - 9)]
+    special = [float("inf"), float("-inf"), 0.0, -0.0, -1e300, float("nan")]
+    for values in (near + wide + special, near + tiny, [-v for v in near] + wide, special, [float("nan")] * 3 + [1.0]):
+        frame = spark.createDataFrame([(v,) for v in values], "a double").repartition(6)
+        got = exact_medians(frame, [], ["a"]).first().a
+        want = frame.agg(F.median("a")).first()[0]
+        assert got == want or (got != got and want != want)
+
+
+def test_magnitude_never_falls(spark):
+    from riskgrid.operators import quantiles
+
+    rng = random.Random(4)
+    values = sorted([rng.uniform(-1, 1) * 10.0 ** rng.randrange(-320, 308) for _ in range(5000)] + [2.0**k for k in range(-1074, 1024)])
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    rows = frame.select("v", quantiles._magnitude(F.col("v")).alias("m")).collect()
+    rows.sort(key=lambda r: r.v)
+    assert all(a.m <= b.m for a, b in zip(rows, rows[1:]))
+
+
 def test_modes(spark):
     rows = [("t", "b"), ("t", "a"), ("t", "b"), ("t", "a"), ("t", None), ("n", None), ("m", "z"), ("m", None), ("m", None)]
     frame = spark.createDataFrame(rows, "k string, c string")
@@ -74,6 +99,21 @@ def test_weather_equals_builtins(spark):
     assert got.exceptAll(builtin).isEmpty() and builtin.exceptAll(got).isEmpty()
 
 
+def test_place_hours_without_a_place_or_with_nan(spark):
+    accidents = accident_rows(spark)
+    odd = accidents.withColumns(
+        {"latitude": F.when(F.col("accident_id").cast("int") % 5 > 0, F.col("latitude")),
+         "visibility_mi": F.when(F.col("accident_id").cast("int") % 4 > 0, F.col("visibility_mi")).otherwise(F.lit(float("nan")))}
+    )
+    got = wx.weather_by_hour(odd)
+    builtin = wx.with_place_hour(odd).groupBy(*wx.PLACE_HOUR).agg(
+        F.count(F.lit(1)).alias("event_count"),
+        *[F.median(c).alias(c) for c in schemas.WEATHER_COLUMNS],
+        F.mode("weather_condition", True).alias("weather_condition"),
+    )
+    assert got.exceptAll(builtin).isEmpty() and builtin.exceptAll(got).isEmpty()
+
+
 def shape(df):
     """The operators of the plan, without sizes and numbers."""
     text = df._jdf.queryExecution().sparkPlan().toString()
