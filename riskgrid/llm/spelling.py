@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import itertools
-import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgrid.llm.common import mixed, slices, texts
+from riskgrid.llm.common import mixed, numbering, numbers_of, slices, texts
 from riskgrid.session import stage
 
 #: Words have at least so many letters and occur at least so often.
@@ -29,10 +29,14 @@ LETTERS = 1 << 18
 SALTS = 8
 #: Each round of root finding doubles the steps, and counts double at each step.
 ROUNDS = 8
-#: A-Z are lower-cased before: letters are a-z and U+00C0 to U+00FF.
-RUNS = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+")
-
-Rewrite = Callable[[int | None], Callable[[bytes], bytes] | None]
+#: Longest words whose checksums and trie nodes are worked out many at a time.
+SHORT = 64
+#: By Latin-1 byte: A-Z in lower case, a-z and U+00C0 to U+00FF as they are, spaces for all others.
+FOLDED = bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 192 else 32 for b in range(256))
+
+#: Given document numbers, different words (Latin-1), and the document and the word of each occurrence: which
+#: occurrences change, and to what.
+Rewrite = Callable[[list, list[bytes], np.ndarray, np.ndarray], tuple[np.ndarray, list[bytes]]]
 COUNTS = pa.schema([("word", pa.string()), ("n", pa.int64())])
 PAIRS = pa.schema([("rank", pa.int64()), ("before", pa.int64()), ("after", pa.int64()), ("kind", pa.int32())])
 NODES = pa.schema([("reverse", pa.bool_()), ("node", pa.int64()), ("depth", pa.int64()), ("parent", pa.int64()), ("letter", pa.int32())])
@@ -40,24 +44,33 @@ NODES = pa.schema([("reverse", pa.bool_()), ("node", pa.int64()), ("depth", pa.i
 GAP, SKIP, FIRST_SKIP = 0, 1, 2
 
 
+def words_of(text: bytes) -> list[bytes]:
+    """The runs of letters of a UTF-8 text, A-Z lower-cased, as Latin-1: other characters end a run."""
+    return text.decode().encode("latin-1", "replace").translate(FOLDED).split()
+
+
 def count_words(docs: DataFrame, rewrite: Rewrite | None = None) -> DataFrame:
     """``word, n``: all runs of letters in all texts, lower-cased (A-Z only), and how often they occur.
 
-    ``rewrite(doc_id)`` may give a function that changes the runs of that document. Counts are summed in the tasks
-    before they are sent, so a word that makes up a third of a corpus is a row per task.
+    ``rewrite`` may change occurrences. Counts are summed in the tasks before they are sent, so a word that makes up a
+    third of a corpus is a row per task.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
         for batch in slices(batches):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                found = RUNS.findall(text.lower())
-                change = rewrite(doc_id) if rewrite is not None else None
-                if change is None:
-                    counts.update(found)
-                else:
-                    for run, n in Counter(found).items():
-                        counts[change(run)] += n
+            found = [words_of(t) for t in batch.column("text").to_pylist()]
+            ids = numbering()
+            of = numbers_of([w for words in found for w in words], ids)
+            words = list(ids)
+            many = np.bincount(of, minlength=len(words))
+            if rewrite is not None:
+                doc = np.repeat(np.arange(len(found)), [len(w) for w in found])
+                changed, new = rewrite(batch.column("doc_id").to_pylist(), words, doc, of)
+                many -= np.bincount(of[changed], minlength=len(words))
+                counts.update(new)
+            for word, n in zip(words, many.tolist()):
+                counts[word] += n
             if len(counts) > MEMORY:
                 yield from _counted(counts)
                 counts.clear()
@@ -67,28 +80,46 @@ def count_words(docs: DataFrame, rewrite: Rewrite | None = None) -> DataFrame:
 
 
 def _counted(counts: Counter[bytes]) -> Iterator[pa.RecordBatch]:
-    words = list(counts)
+    words = [w for w, n in counts.items() if n]
     for i in range(0, len(words), 1 << 16):
         part = words[i : i + (1 << 16)]
         numbers = np.fromiter((counts[w] for w in part), np.int64, len(part))
-        yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in part], pa.string()), pa.array(numbers)], schema=COUNTS)
-
-
-def misspelt(doc_id: int | None) -> Callable[[bytes], bytes] | None:
-    """Takes a letter out of about one run in 97 of a document; a document without a number is left alone."""
-    if doc_id is None:
-        return None
-    seed = zlib.crc32(f"{doc_id}:".encode())
-
-    def change(run: bytes) -> bytes:
-        h = zlib.crc32(run, seed)
-        if h % 97:
-            return run
-        letters = run.decode()
-        at = h % len(letters)
-        return (letters[:at] + letters[at + 1 :]).encode()
-
-    return change
+        plain = pa.array([w.decode("latin-1") for w in part], pa.string())
+        yield pa.RecordBatch.from_arrays([plain, pa.array(numbers)], schema=COUNTS)
+
+
+@cache
+def _carried(length: int) -> np.ndarray:
+    """What becomes of each byte of a crc32 when ``length`` more bytes follow: crc32(ab) is carried(a) ^ crc32(b)."""
+    zeros = bytes(length)
+    none = zlib.crc32(zeros)
+    return np.array([[zlib.crc32(zeros, v << 8 * k) ^ none for v in range(256)] for k in range(4)], np.uint32)
+
+
+def misspelt(doc_ids: list, words: list[bytes], doc: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Takes a letter out of about one run in 97, by the crc32 of ``<doc_id>:<run>``; documents without a number are
+    left alone."""
+    plain = [w.decode("latin-1").encode() for w in words]
+    size = np.array([len(w) for w in plain], np.int64)
+    own = np.array([zlib.crc32(w) for w in plain], np.uint32)
+    seeds = np.array([0 if i is None else zlib.crc32(f"{i}:".encode()) for i in doc_ids], np.uint32)
+    numbered = np.array([i is not None for i in doc_ids], bool)
+    table = np.zeros((SHORT + 1, 4, 256), np.uint32)
+    for n in np.unique(size[size <= SHORT]).tolist():
+        table[n] = _carried(n)
+    seed, n = seeds[doc], np.minimum(size, SHORT)[of]
+    h = own[of]
+    for k in range(4):
+        h ^= table[n, k, (seed >> np.uint32(8 * k)) & np.uint32(255)]
+    for i in np.flatnonzero(size[of] > SHORT).tolist():
+        h[i] = zlib.crc32(plain[of[i]], int(seed[i]))
+    changed = np.flatnonzero((h % 97 == 0) & numbered[doc])
+    new = []
+    for word, hash_ in zip(of[changed].tolist(), h[changed].tolist()):
+        letters = words[word]
+        at = hash_ % len(letters)
+        new.append(letters[:at] + letters[at + 1 :])
+    return changed, new
 
 
 def trie_nodes(words: list[np.ndarray], salt: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,17 +128,37 @@ def trie_nodes(words: list[np.ndarray], salt: int) -> tuple[np.ndarray, np.ndarr
     A node's number is a digest of its parent's number and its letter, so words with a common prefix share the
     numbers of its nodes. That different nodes have different numbers is checked by ``_all_different``.
     """
-    starts = np.r_[0, np.cumsum([len(w) + 1 for w in words], dtype=np.int64)]
-    root = _root(salt)
-    ways = itertools.chain.from_iterable(itertools.accumulate(w.tolist(), _child, initial=root) for w in words)
-    return np.fromiter(ways, np.uint64, starts[-1]).view(np.int64), starts
+    lengths = np.array([len(w) for w in words], np.int64)
+    starts = np.r_[0, np.cumsum(lengths + 1)]
+    out = np.full(starts[-1], _root(salt), np.uint64)
+    letters = np.zeros(starts[-1], np.uint64)
+    if len(words):
+        inner = np.ones(starts[-1], bool)
+        inner[starts[1:] - 1] = False
+        letters[inner] = np.concatenate(words)
+    # A letter after the other, of all words that are long enough; the rest of long words one by one.
+    left = np.arange(len(words))
+    for i in range(min(int(lengths.max(initial=0)), SHORT)):
+        left = left[lengths[left] > i]
+        at = starts[left] + i
+        out[at + 1] = _child(out[at], letters[at])
+    for k in np.flatnonzero(lengths > SHORT).tolist():
+        at, end = int(starts[k]) + SHORT, int(starts[k + 1])
+        rest = itertools.accumulate(letters[at : end - 1].tolist(), _slow_child, initial=int(out[at]))
+        out[at:end] = np.fromiter(rest, np.uint64, end - at)
+    return out.view(np.int64), starts
 
 
 def _root(salt: int) -> int:
     return int(mixed(np.array([salt], np.uint64))[0])
 
 
-def _child(node: int, letter: int) -> int:
+def _child(node: np.ndarray, letter: np.ndarray) -> np.ndarray:
+    node = (node + letter + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return node ^ (node >> np.uint64(32))
+
+
+def _slow_child(node: int, letter: int) -> int:
     node = (node + letter + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
     return node ^ node >> 32
 
