@@ -18,8 +18,11 @@ Q = 12
 WINDOW = 64
 #: Edits allowed, as a share of the passage: a replaced word or two.
 EDIT_SHARE = 0.125
-#: q-grams of a passage that must stand in one diagonal band: any four edits in 64 bytes leave as many.
+#: q-grams of a passage that must stand in one diagonal band. See ``sure_edits``.
 SHARED = 5
+#: Pairs of places that are looked at together, and bytes that two such looks have in common (a passage and its band).
+ENTRIES = 300_000
+OVERLAP = 2 * WINDOW
 #: Shorter items are no evidence: they occur by chance.
 SHORTEST = 40
 #: Bytes of benchmark text that are broadcast at once; a larger benchmark takes more passes over the documents.
@@ -109,9 +112,15 @@ class Index:
 
 
 def budget(length: int) -> int:
+    """Edits that a passage may have where it is found."""
     return int(length * EDIT_SHARE)
 
 
+def sure_edits(length: int) -> int:
+    """Edits with which a passage is found wherever they are: each spoils at most Q of its q-grams, and SHARED remain."""
+    return (length - Q + 1 - min(SHARED, length - Q + 1)) // Q
+
+
 def edits(passage: bytes, region: bytes, first: int, most: int) -> int:
     """Fewest edits from ``passage`` to a piece of ``region``, at most ``most`` + 1.
 
@@ -183,6 +192,30 @@ def matches(data: list[bytes], index: Index) -> Iterator[tuple[int, int, int, in
     if not len(hit):
         return
     offsets = np.cumsum([0] + [len(x) + 1 for x in plain])
+    parts = [_verified(index, joined, offsets, hit[p], low[p], many[p]) for p in _pieces(hit, many)]
+    doc, item, cost, shared, at = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((at, -shared, cost, item, doc))
+    doc, item, cost, shared, at = doc[order], item[order], cost[order], shared[order], at[order]
+    best = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])]) if len(doc) else order
+    yield from zip(*(x[best].tolist() for x in (doc, item, cost, shared, at)))
+
+
+def _pieces(hit: np.ndarray, many: np.ndarray) -> Iterator[slice]:
+    """Stretches of the places in ``hit`` that share about ENTRIES q-grams with the items, whatever the texts repeat.
+
+    Each begins OVERLAP bytes before the last one's end: all q-grams of a passage, wherever it is, are in one of them.
+    """
+    upto, start = np.cumsum(many), 0
+    while start < len(hit):
+        base = upto[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(upto, base + ENTRIES, side="right")))
+        yield slice(int(np.searchsorted(hit, hit[start] - OVERLAP)), stop)
+        start = stop
+
+
+def _verified(index: Index, joined: np.ndarray, offsets: np.ndarray, hit: np.ndarray, low: np.ndarray, many: np.ndarray):
+    """(text number, item, edits, shared q-grams, place) of the verified passages at some places, as arrays."""
+    nothing = tuple(np.zeros(0, np.int64) for _ in range(5))
     doc_of_hit = np.searchsorted(offsets, hit, side="right") - 1
     # Every (place in the text, place in an item) that share a q-gram.
     entry = ranges(low, many)
@@ -212,7 +245,7 @@ def matches(data: list[bytes], index: Index) -> Iterator[tuple[int, int, int, in
     many = np.where(from_ <= to, np.searchsorted(where, row[k] * span + to, side="right") - low, 0)
     passage, group_of = ranges(low, many), group[np.repeat(k, many)]
     if not len(passage):
-        return
+        return nothing
     pairs = np.unique(group_of * len(where) + passage)
     group_of, passage = pairs // len(where), pairs % len(where)
     head = np.flatnonzero(new)[group_of]
@@ -231,11 +264,7 @@ def matches(data: list[bytes], index: Index) -> Iterator[tuple[int, int, int, in
         part = slice(k, k + 4096)
         cost[part] = fewest_edits(index, passage[part], joined, begin[part], stop[part])
     good = np.flatnonzero(cost <= most)
-    doc, item, cost, shared, at = doc[good], index.items[passage[good]], cost[good], shared[good], np.maximum(0, at[good])
-    order = np.lexsort((at, -shared, cost, item, doc))
-    doc, item, cost, shared, at = doc[order], item[order], cost[order], shared[order], at[order]
-    best = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])]) if len(doc) else order
-    yield from zip(*(x[best].tolist() for x in (doc, item, cost, shared, at)))
+    return doc[good], index.items[passage[good]], cost[good], shared[good], np.maximum(0, at[good])
 
 
 def ranges(first: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -263,12 +292,15 @@ def blocks(benchmark: DataFrame, numberless: bool = False) -> Iterator[Index]:
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item of which it holds a passage.
 
-    A passage is held if it is there within ``budget`` edits and SHARED of its q-grams stand in one band: passages begin
-    at each word of an item and at its end, so a stretch of passage_bytes and a word is enough. ``edits`` is the smallest
+    Passages begin at each word of an item and at its end, so a stretch of passage_bytes and a word holds one. A passage
+    within ``sure_edits`` (4 of 64 bytes, 2 of 40) is always found, by the q-gram lemma. One with more, up to ``budget``
+    (8 of 64 bytes), is found if SHARED of its q-grams stand in one band, as where a word or two are replaced; edits
+    spread evenly leave no q-gram then, and it is not found. ``edits`` is the smallest
     edit distance over the item's passages, ``shared_qgrams`` and ``place`` (bytes into the normalised text, to within the
     band) those of that passage. Null and empty texts hold nothing; items shorter than
     SHORTEST are no evidence. Rows are searched alone, so repeated rows give repeated rows; rows without a number are
-    left out; an empty table on either side gives no rows; other columns are ignored.
+    left out; an empty table on either side gives no rows; other columns are ignored. Of very long texts, a
+    stretch after the other is compared, so that memory grows with the text alone, also where it repeats a q-gram of an item.
     """
     schema = "doc_id long, item_id long, edits int, shared_qgrams long, place long"
     session = docs.sparkSession

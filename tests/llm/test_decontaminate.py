@@ -158,3 +158,63 @@ def test_items_without_a_number_remove_documents(spark, monkeypatch):
         monkeypatch.setattr(d, "BLOCK_BYTES", size)
         assert [r.doc_id for r in d.without_leaks(df, bench).collect()] == [2]
         assert d.contaminated(df, bench).count() == 0
+
+
+def spread(passage, edits, shift):
+    """The passage with so many bytes replaced, evenly spread."""
+    out = bytearray(passage)
+    for k in range(edits):
+        out[(shift + k * len(passage) // edits) % len(passage)] = 126
+    return bytes(out)
+
+
+def test_every_passage_within_the_sure_edits_is_found():
+    """Against whole edit matrices, without the filter in the definition: edits anywhere, also evenly spread."""
+    import pyarrow.parquet as pq
+
+    items = [(r["item_id"], r["text"].encode()) for r in pq.read_table(BENCH).to_pylist()]
+    index = d.Index.of(items)
+    rng = np.random.default_rng(1)
+    passages = index.passages
+    assert {d.sure_edits(64), d.sure_edits(40)} == {4, 2}
+    for edits in range(5):
+        texts, owners = [], []
+        for k, passage in enumerate(passages):
+            if d.sure_edits(len(passage)) < edits:
+                continue
+            changed = bytearray(spread(passage, edits, int(rng.integers(64))) if edits and k % 3 else passage)
+            if edits and k % 3 == 0:
+                for _ in range(edits):
+                    at, kind = int(rng.integers(len(changed))), rng.integers(3)
+                    if kind == 0:
+                        changed[at] = 126
+                    elif kind == 1:
+                        del changed[at]
+                    else:
+                        changed.insert(at, 126)
+            texts.append(b"zq xk wv " + bytes(changed) + b" vw kx qz")
+            owners.append(k)
+        found = {(t, item) for t, item, *_ in d.matches(texts, index)}
+        for t, k in enumerate(owners):
+            if plain_edits(passages[k], d.normalised(texts[t])) <= edits:
+                assert (t, int(index.items[k])) in found, (edits, k)
+
+
+def test_pieces_find_what_one_look_finds(monkeypatch):
+    import pyarrow.parquet as pq
+
+    items = [(r["item_id"], r["text"].encode()) for r in pq.read_table(BENCH).to_pylist()]
+    index = d.Index.of(items)
+    texts = [b"%s and %s" % (items[k][1], items[k + 1][1]) for k in range(len(items) - 1)] + [items[3][1] * 30]
+    want = list(d.matches(texts, index))
+    monkeypatch.setattr(d, "ENTRIES", 50)
+    assert list(d.matches(texts, index)) == want and len(want) > 2 * (len(items) - 1)
+
+
+def test_long_text_of_one_letter():
+    import resource
+
+    index = d.Index.of([(1, b"-" * 80), (2, b"some words of an item that have nothing to do with a rule of dashes")])
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert [r[:3] for r in d.matches([b"-" * 300_000], index)] == [(0, 1, 0)]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 700_000
