@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -42,7 +43,7 @@ def exact_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) ->
 
     For few but large groups. ``percentile`` would bring all distinct values of a group to one task. Here values are
     counted per slice, and only the slices that hold the two middle ranks are looked into: first slices by magnitude,
-    then slices of equal width of the values found there, then single values. The slices depend on the
+    then slices of equal width of the values found there, then single values; a slice of one value is not looked into. The slices depend on the
     values' order alone, so whatever the distribution, a task orders at most 2^22 slices or values of a group;
     rows are only counted, in the map tasks already. The result is exact.
     Without keys at most two slices per column are broadcast; with keys the joins are left to Spark, which sees
@@ -63,15 +64,19 @@ def exact_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) ->
     held = _holding(slices, group, ranks, "_slice").drop("_slice")
 
     limits = [*group, "_from", "_to"]
+    settled = [held.where("_low = _high")]
     for last in (False, True):
-        held = held.withColumnsRenamed({"_low": "_from", "_high": "_to"})
-        near = values.join(few(held), group).where("_value between _from and _to")
+        # Slices of a single value need no further look; if there are no others, adaptive execution drops the rest.
+        open_ = held.where("_low < _high").withColumnsRenamed({"_low": "_from", "_high": "_to"})
+        near = values.join(few(open_), group).where("_value between _from and _to")
         width = F.try_divide(F.col("_value") - F.col("_from"), F.col("_to") - F.col("_from"))
         # All of one value, or of values without a distance, are one slice.
         slice = F.col("_value") if last else F.floor(F.coalesce(F.nanvl(width, F.lit(0.0)), F.lit(0.0)) * _SLICES)
         slices = near.groupBy(*limits, *ranks, slice.alias("_slice")).agg(*found)
         held = _holding(slices, limits, ranks, "_slice").drop("_slice", "_from", "_to")
+        settled.append(held.where("_low = _high"))
 
+    held = reduce(DataFrame.unionByName, settled)
     middle = lambda rank: F.max(F.when(F.col(rank).isNotNull(), F.col("_low")))
     medians = held.groupBy(*group).agg(((middle("_first") + middle("_second")) / 2).alias("_median"))
     spread = [F.max(F.when(F.col("_measure") == i, F.col("_median"))).alias(c) for i, c in enumerate(columns)]

@@ -105,7 +105,7 @@ def rows_scanned(df):
 def test_a_place_is_found_without_reading_other_row_groups(spark, scratch):
     day = predictions(spark, ("2024-01-01", 0, "x", 0.9, "v1"))
     places = F.explode(F.sequence(F.lit(0), F.lit(1998), F.lit(2)))
-    many = day.withColumn("location_id", F.format_string("place%04d", places))
+    many = day.withColumn("k", places).withColumn("location_id", F.format_string("place%04d", "k")).drop("k")
     sinks.replace_days(many, scratch)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
