@@ -94,7 +94,7 @@ def clean_counted(df: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, int]
     """``clean``, and a function that tells what the first job over the result has counted on its way.
 
     The counts come with that job, not from another pass: raw rows, rows kept, rows removed. Asked before a job has
-    run over all rows, it waits for one.
+    run over all rows, it waits for one. Read ``df`` in ``session.own_session`` if models are fitted in the same session.
     """
     read, kept = Observation("rows read"), Observation("rows kept")
     rows = F.count(F.lit(1)).alias("rows")

@@ -19,6 +19,7 @@ from riskgrid.operators.training import DEFAULT_MODELS, ModelSpec
 from riskgrid.plans.features import build_features
 from riskgrid.plans.score import score_day
 from riskgrid.plans.train import train_models
+from riskgrid.session import own_session
 from riskgrid.sources.models import load_recorded
 from riskgrid.sources.scans import csv_events, parquet_table
 from riskgrid.sources.sinks import (
@@ -68,7 +69,7 @@ def ingest(spark: SparkSession, project: Project) -> dict[str, int]:
     Returns how many raw rows there were, how many were kept and how many the cleaning removed, counted while the event
     table was written (zeros if the policy left the table alone): the raw files are read once.
     """
-    cleaned, counts = clean_counted(csv_events(spark, project.raw_path))
+    cleaned, counts = clean_counted(csv_events(own_session(spark), project.raw_path))
     events = with_point(to_table_columns(cleaned))
     written = True
     if project.write_policy == "append":

@@ -26,6 +26,15 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
     return builder.getOrCreate()
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session with the same settings and views, but state of its own.
+
+    A session that has observed counts can't send freshly fitted MLlib models to tasks any more (they refer to it), so
+    observations are made in one of their own.
+    """
+    return SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+
+
 @cache
 def _local_root(application: str) -> str:
     return tempfile.mkdtemp(prefix="riskgrid-")
