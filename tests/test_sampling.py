@@ -105,3 +105,20 @@ def test_cuts_read_whole_rows_once(spark, tmp_path):
     labelled(spark, 50, 70).withColumn("payload", F.col("id") * 2).write.parquet(path)
     plan = sampling.stratified_split(spark.read.parquet(path), "y", ["id"])._jdf.queryExecution().sparkPlan().toString()
     assert sum("payload" in line for line in plan.splitlines() if "ReadSchema" in line) == 1
+
+
+@pytest.mark.parametrize("deviations", [0.0, 0.2])
+def test_cuts_outside_their_brackets_are_exact(spark, monkeypatch, deviations):
+    monkeypatch.setattr(ranking, "_DEVIATIONS", deviations)
+    test_split_is_exact_per_class(spark, 1003, 3001)
+    test_class_sample_is_the_first_in_hash_order(spark, 17)
+
+
+def test_the_digest_is_worked_out_once_per_row(spark):
+    """One pass finds the cuts and one reads whole rows; neither hashes a row again for each cut or condition."""
+    cut = sampling.bounded_split(labelled(spark, 300, 500), "y", 100, 200, ["id"]).where("split <> 'test'")
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    placing = plan.split("Generate")[0]
+    assert "md5" not in placing
+    for line in plan.splitlines():
+        assert line.count("md5(") <= 1
