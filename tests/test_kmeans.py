@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from riskgrid.operators import kmeans, locations
 from riskgrid.queries import views
@@ -75,3 +76,28 @@ def test_raw_events_are_read_once(spark):
         files = frame.inputFiles()
         assert files and all("positions" in f for f in files)
     assert cost_of(assigned.select("latitude", "longitude", "events"), found.centres) == pytest.approx(found.cost)
+
+
+def test_blocks_leave_out_no_nearest_centre():
+    rng = np.random.default_rng(1)
+    centres = np.concatenate([rng.uniform(-3, 3, (40, 2)), [[1.0, 1.0], [1.0, 1.0], [1.0, 2.0]]])
+    grid = np.stack(np.meshgrid(np.arange(0, 3, 0.25), np.arange(0, 3, 0.25)), axis=-1).reshape(-1, 2)
+    points = np.concatenate([rng.uniform(-3, 3, (60_000, 2)), grid])
+    points = points[kmeans._in_blocks(points)]
+    of, cost = kmeans.nearest(points, centres)
+    apart = (points[:, :1] - centres[:, 0]) ** 2 + (points[:, 1:] - centres[:, 1]) ** 2
+    assert (of == apart.argmin(axis=1)).all() and (cost == apart.min(axis=1)).all()
+    near = [len(kmeans._within_reach(points[i : i + kmeans.BLOCK], centres)) for i in range(0, len(points), kmeans.BLOCK)]
+    assert np.mean(near) < len(centres) / 2
+
+
+def test_positions_of_one_file_are_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "positions")
+    positions(spark, 3000).coalesce(1).write.parquet(path)
+    frame = spark.read.parquet(path)
+    monkeypatch.setattr(kmeans, "TASK_CELLS", 1 << 14)
+    dealt = kmeans._dealt(frame, 50)
+    held = dealt.groupBy(F.input_file_name()).count().collect()
+    assert len(held) >= 8 and max(r["count"] for r in held) <= 1000
+    order = ["latitude", "longitude", "events"]
+    assert [tuple(r) for r in dealt.orderBy(*order).collect()] == [tuple(r) for r in frame.orderBy(*order).collect()]
