@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from riskgrid import session
 from riskgrid.functions.geo import with_location_key
 from riskgrid.operators import calendar as cal
 from riskgrid.operators import grid, locations
@@ -111,3 +112,17 @@ def test_session_zone_does_not_matter(spark):
         assert counts_at(spark, [T - 24 * HOUR, T - 3 * HOUR, T + 23 * HOUR]) == (2, 2, 2, 2, 1)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_tasks_of_a_larger_grid_hold_no_more_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 500)
+    days = [("2024-01-01", "2024-01-02")]
+    bounds = spark.createDataFrame(days, "a string, b string").selectExpr("date(a) start_date", "date(b) end_date")
+    for places in (200, 400):
+        keys = spark.range(places).selectExpr("cast(id * 10 as int) lat_e4", "cast(7 as int) lon_e4")
+        hours = keys.selectExpr("*", "cast(473400 as bigint) hour_idx", "1L event_count")
+        made = win.grid_window_counts(keys, hours, bounds, [win.ahead()])
+        added = win.add_label(grid.hourly_grid(keys, bounds), hours, 6)
+        for frame in (made, added):
+            held = [r["count"] for r in frame.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(held) == places * 48 and max(held) <= 2_000
