@@ -198,3 +198,27 @@ def test_serving_results(spark):
     assert tuple(serving.statistics(p.where("false")).first()) == (0, 0, 0, 0, None, None)
     hours = [(r.prediction_date, r.prediction_hour) for r in serving.predictions_by_location(p, "x").collect()]
     assert hours == [("2024-01-02", 0), ("2024-01-01", 0), ("2024-01-01", 1)]
+
+
+def test_feature_writers_sort_few_rows_each(spark, scratch, monkeypatch):
+    monkeypatch.setattr(sinks, "FEATURE_BYTES", "64k")
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    rows = spark.range(200_000).repartition(40).selectExpr(
+        "date '2024-01-01' as feature_date", "md5(cast(id as string)) as location_id", "cast(id % 24 as int) as hour"
+    )
+    sinks.write_features(rows, scratch)
+    stored = spark.read.parquet(scratch)
+    assert stored.count() == stored.distinct().count() == 200_000
+    assert len(stored.inputFiles()) > 20 and spark.conf.get(advisory) == before
+
+
+def test_a_copied_date_is_written_by_many_tasks(spark, scratch, monkeypatch):
+    monkeypatch.setattr(sinks, "FEATURE_ROWS", 5_000)
+    rows = spark.range(100_000).coalesce(1).selectExpr(
+        "date '2024-01-01' as feature_date", "md5(cast(id as string)) as location_id", "cast(id % 24 as int) as hour"
+    )
+    sinks.write_features(rows, scratch, rows=100_000)
+    stored = spark.read.parquet(scratch)
+    held = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert stored.distinct().count() == sum(held) == 100_000 and len(held) >= 15 and max(held) <= 10_000
