@@ -1,4 +1,6 @@
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from riskgrid.operators import encoding, locations, scoring, training
@@ -234,3 +236,13 @@ def test_compared_models_are_the_default_ones(spark, features, monkeypatch):
     free = lambda spec: (spec.name, spec.family, spec.positive_weight, {**spec.params, "trees": 0})
     assert list(map(free, asked)) == list(map(free, training.DEFAULT_MODELS))
     assert asked[:2] == training.DEFAULT_MODELS[:2]
+
+
+def test_evaluation_scores_a_row_once(spark):
+    """The score is used in several conditions and a filter of the metrics; the model is asked once per row for all."""
+    rows = spark.range(200).selectExpr("'test' as split", f"cast(id % 3 = 0 as int) as {TARGET}", "cast(id as double) as a")
+    vectors = VectorAssembler(inputCols=["a"], outputCol="features").transform(rows).withColumn("weight", F.lit(1.0))
+    fitted = RandomForestClassifier(labelCol=TARGET, numTrees=2, maxDepth=2, seed=1).fit(vectors)
+    plan = training.evaluate(fitted, vectors)._jdf.queryExecution().optimizedPlan().toString()
+    once = training.with_probability(fitted, vectors).select("p")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("UDF(") == once.count("UDF(") > 0
