@@ -39,6 +39,29 @@ def test_exact_medians_of_skewed_groups(spark, seed):
     assert (whole.a, whole.b) == (median([r[1] for r in rows]), median([r[2] for r in rows]))
 
 
+def test_medians_of_many_small_groups_need_no_slices(spark):
+    """Groups of two values, or of one repeated, are settled by one aggregate; the rest is not run."""
+    rows = [(k, v) for k in range(300) for v in ([1.5 * k, 4.0] if k % 2 else [7.0] * 5)]
+    frame = spark.createDataFrame([*rows, (-1, None)], "k int, a double").repartition(4)
+    found = exact_medians(frame, ["k"], ["a"])
+    assert {r.k: r.a for r in found.collect()} == {k: (1.5 * k + 4.0) / 2 if k % 2 else 7.0 for k in range(300)}
+    final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "isFinalPlan=true" in final and "Window" not in final and "Generate" not in final
+
+
+def test_medians_of_groups_settled_and_open(spark):
+    """A group with one open column goes by slices with all its columns; nulls, NaN, equal and odd counts beside it."""
+    nan = float("nan")
+    groups = {
+        "open": [(1.0, 5.0), (2.0, 5.0), (9.0, None)], "pair": [(1.0, -2.0), (4.0, None)], "none": [(None, None)] * 4,
+        "half": [(None, 1.0), (None, 2.0), (None, 4.0), (None, 8.0)], "same": [(3.0, 3.0)] * 6, "nan": [(nan, 1.0), (nan, nan), (1.0, 1.0)],
+    }
+    frame = spark.createDataFrame([(k, *r) for k, found in groups.items() for r in found], "k string, a double, `b c` double")
+    got = {r[0]: (repr(r[1]), repr(r[2])) for r in exact_medians(frame.repartition(3), ["k"], ["a", "b c"]).collect()}
+    want = {"open": (2.0, 5.0), "pair": (2.5, -2.0), "half": (None, 3.0), "same": (3.0, 3.0), "nan": (nan, 1.0)}
+    assert got == {k: (repr(a), repr(b)) for k, (a, b) in want.items()}
+
+
 def test_medians_beside_a_gap_stay_bounded(spark):
     """Values that lie close together beside a wide gap: slices shrink all the same, and no window is large."""
     n = 40_000
