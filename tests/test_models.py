@@ -12,6 +12,8 @@ from riskgrid.schemas import TARGET
 from riskgrid.sources import models, scans
 
 SMALL = "/root/testdata/sf0.001"
+# Queries whose models are fitted on the whole train split.
+WHOLE = ["q65_logistic_regression"]
 
 
 @pytest.fixture(scope="module")
@@ -246,3 +248,22 @@ def test_evaluation_scores_a_row_once(spark):
     plan = training.evaluate(fitted, vectors)._jdf.queryExecution().optimizedPlan().toString()
     once = training.with_probability(fitted, vectors).select("p")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("UDF(") == once.count("UDF(") > 0
+
+
+def test_unbounded_models_are_fitted_on_the_whole_train_split(spark, features, monkeypatch):
+    """The bounds of the other queries don't reach them, and all rows of the train split go to the fit."""
+    seen = []
+
+    def fit(train, spec, rows):
+        seen.append((train.count(), rows))
+        return real(train, registry.QUICK[0], rows=rows)
+
+    real = training.fit
+    monkeypatch.setattr(registry, "POSITIVES", 50)
+    monkeypatch.setattr(registry, "NEGATIVES", 70)
+    monkeypatch.setattr(training, "fit", fit)
+    n = [r["count"] for r in features.where(F.col(TARGET).isin(0, 1)).groupBy(TARGET).count().collect()]
+    whole = sum(int(x * 0.7) for x in n)
+    for name in WHOLE:
+        report = {r.split: r.rows for r in registry.QUERIES[name](spark, SMALL).collect()}
+        assert seen.pop() == (whole, whole) and sum(report.values()) == sum(n) and report["train"] == whole
