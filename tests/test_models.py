@@ -13,7 +13,7 @@ from riskgrid.sources import models, scans
 
 SMALL = "/root/testdata/sf0.001"
 # Queries whose models are fitted on the whole train split.
-WHOLE = ["q65_logistic_regression", "q66_random_forest"]
+WHOLE = ["q65_logistic_regression", "q66_random_forest", "q68_boosted_trees_balanced"]
 
 
 @pytest.fixture(scope="module")
